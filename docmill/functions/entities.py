@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from docmill.functions.strings import replace_each
+from docmill.functions.strings import let, replace_each
 
 # The named references that are decoded (matched without regard to case).
 NAMED = {
@@ -46,20 +46,26 @@ REFERENCE = "&(#[xX]?[0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);"
 def _character(code: Column) -> Column:
     utf32 = F.unhex(F.lpad(F.hex(code), 8, "0"))
     return (
-        F.when(code.between(0xD800, 0xDFFF), F.lit(chr(0xFFFD)))
-        .when(code.between(0, 0x10FFFF), F.decode(utf32, "UTF-32"))
+        F.when(code < 128, F.char(code))
+        .when(code.between(0xD800, 0xDFFF), F.lit(chr(0xFFFD)))
+        .when(code <= 0x10FFFF, F.decode(utf32, "UTF-32"))
     )
 
 
 def _numeric(body: Column) -> Column:
     # Leading zeros go first, so a bounded digit count proves the value fits.
-    hexa = F.regexp_extract(body, "^#[xX]0*([0-9a-fA-F]+)$", 1)
-    deci = F.regexp_extract(body, "^#0*([0-9]+)", 1)
-    code = (
-        F.when(F.length(hexa).between(1, 6), F.conv(hexa, 16, 10).try_cast("bigint"))
-        .when(F.length(deci).between(1, 7), deci.try_cast("bigint"))
+    def decimal(digits: Column) -> Column:
+        return F.when(F.length(digits) <= 7, F.coalesce(digits.try_cast("int"), F.lit(0)))
+
+    def hexadecimal(digits: Column) -> Column:
+        return F.when(F.length(digits) <= 6, F.conv(F.concat(F.lit("0"), digits), 16, 10).try_cast("int"))
+
+    is_hex = F.lower(F.substring(body, 2, 1)) == "x"
+    deci = F.regexp_extract(body, "^#([0-9]*)", 1)
+    code = F.when(is_hex, let(F.ltrim(F.substr(body, F.lit(3)), F.lit("0")), hexadecimal)).otherwise(
+        let(deci, lambda d: F.when(d != "", let(F.ltrim(d, F.lit("0")), decimal)))
     )
-    return _character(code)
+    return let(code, _character)
 
 
 def decode_entities(text: Column) -> Column:

@@ -78,13 +78,26 @@ def html_tables(text: Column) -> Column:
     return _each_element(text, "table", rewrite)
 
 
-def html_heading(text: Column, level: int) -> Column:
-    """Pass 4, one level: a heading to that many hashes."""
-    mark = F.lit("\n\n" + "#" * level + " ")
-    return _each_element(text, f"h{level}", lambda inner: F.concat(mark, inline_text(inner), F.lit("\n\n")))
-
+def html_headings(text: Column) -> Column:
+    """Pass 4: h1 to h6 to that many hashes, level by level."""
+
+    def one_level(t: Column, level: Column) -> Column:
+        name = F.concat(F.lit("h"), level.cast("string"))
+        closing = F.concat(F.lit("</"), name, F.lit(">"))
+        pattern = F.concat(F.lit("(?is)<"), name, F.lit(f"{WORD_END}[^>]*>(.*?)</"), name, F.lit(">"))
+        mark = F.concat(F.lit("\n\n"), F.repeat(F.lit("#"), level), F.lit(" "))
+        return up_to_last(
+            t,
+            closing,
+            lambda head: let(
+                pattern,
+                lambda p: replace_each(
+                    head, p, lambda inner: F.concat(mark, inline_text(inner), F.lit("\n\n"))
+                ),
+            ),
+        )
 
-HEADING_PASSES = tuple(partial(html_heading, level=level) for level in range(1, 7))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(6)), text, one_level)
 
 
 def html_pre(text: Column) -> Column:
@@ -186,7 +199,7 @@ HTML_PASSES = (
     html_drop_blocks,
     html_breaks,
     html_tables,
-    *HEADING_PASSES,
+    html_headings,
     html_pre,
     html_blockquote,
     html_lists,

@@ -46,7 +46,13 @@ def in_turn(text: Column, passes) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.lit(len(passes) - 1)), text, step)
 
 
-def replace_each(text: Column, pattern: str, rewrite: Callable[[Column], Column], group: int = 1) -> Column:
+def as_column(pattern: str | Column) -> Column:
+    return F.lit(pattern) if isinstance(pattern, str) else pattern
+
+
+def replace_each(
+    text: Column, pattern: str | Column, rewrite: Callable[[Column], Column], group: int = 1
+) -> Column:
     """Replace every match by an expression over one captured group.
 
     ``text`` is used twice, so pass a column or a bound value.
@@ -54,23 +60,24 @@ def replace_each(text: Column, pattern: str, rewrite: Callable[[Column], Column]
     return F.array_join(
         F.zip_with(
             F.split(text, pattern, -1),
-            F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), rewrite),
+            F.transform(F.regexp_extract_all(text, as_column(pattern), F.lit(group)), rewrite),
             lambda between, new: F.concat(between, F.coalesce(new, F.lit(""))),
         ),
         "",
     )
 
 
-def up_to_last(text: Column, closing: str, rewrite: Callable[[Column], Column]) -> Column:
+def up_to_last(text: Column, closing: str | Column, rewrite: Callable[[Column], Column]) -> Column:
     """Apply ``rewrite`` to the text up to its last ``closing`` match, keep the rest.
 
     A paired construct cannot match beyond its last closing tag, so the result is the
     same as over the whole text, but unclosed opening tags no longer scan to the end.
     Pass a column or a bound value as ``text``.
     """
+    whole = F.concat(F.lit(r"(?is)\A.*"), as_column(closing))
     return let(
-        F.regexp_extract(text, rf"(?is)\A(.*{closing})", 1),
-        lambda head: F.when(head == "", text).otherwise(
+        F.regexp_substr(text, whole),
+        lambda head: F.when(head.isNull(), text).otherwise(
             F.concat(rewrite(head), F.substr(text, F.length(head) + 1))
         ),
     )

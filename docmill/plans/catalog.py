@@ -368,7 +368,7 @@ def html_headings(spark, folder):
             S.escaped(F.col("text")),
         ).alias("html"),
     )
-    return built.select("doc_id", strings.in_turn(F.col("html"), html.HEADING_PASSES).alias("result"))
+    return built.select("doc_id", html.html_headings(F.col("html")).alias("result"))
 
 
 _text_job("html_tables", S.html_table, html.html_tables)
@@ -571,7 +571,8 @@ def convert_documents_query(spark, folder):
             name(prefix, key, "").alias("doc_id"), given.alias("input"), kind.alias("content_type"), content.cast("binary").alias("content")
         )
 
-    packed = S.packed(docs, F.array(S.entry(F.lit("word/document.xml"), S.word_document(F.col("text")))))
+    boxed = S.packed(docs, F.array(S.entry(F.lit("word/document.xml"), S.word_document(F.col("text")))))
+    packed = stored(boxed, "containers")
     every = (
         rows(docs, "txt", "doc_id", name("d/", "doc_id", ".txt"), F.col("text"))
         .unionByName(rows(docs, "pdf", "doc_id", name("d/", "doc_id", ".pdf"), F.col("text")))
