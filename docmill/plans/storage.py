@@ -21,8 +21,12 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/docmill-{purpose}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """Write a table that is read several times once; later reads prune and filter it."""
+def stored(df: DataFrame, purpose: str, by: str | None = None) -> DataFrame:
+    """Write a table that is read several times once; later reads prune and filter it.
+
+    With ``by`` each value has its own folder, so a reader of one value opens no other.
+    """
     path = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    writer = df.write if by is None else df.write.partitionBy(by)
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
