@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from docmill.functions.strings import let, replace_each
+from docmill.functions.strings import let, literal_map, replace_each
 
 # The named references that are decoded (matched without regard to case).
 NAMED = {
@@ -39,7 +39,6 @@ NAMED = {
     "auml": "ä",
     "szlig": "ß",
 }
-NAMED_MAP = "map(" + ", ".join(f"'{name}', r\"{char}\"" if char != '"' else f"'{name}', r'{char}'" for name, char in NAMED.items()) + ")"
 REFERENCE = "&(#[xX]?[0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);"
 
 
@@ -70,7 +69,7 @@ def _numeric(body: Column) -> Column:
 
 def decode_entities(text: Column) -> Column:
     """One pass over the references; unknown ones stay. Pass a column or a bound value."""
-    names = F.expr(NAMED_MAP)
+    names = literal_map(NAMED)
 
     def resolve(body: Column) -> Column:
         known = F.when(F.startswith(body, F.lit("#")), _numeric(body)).otherwise(

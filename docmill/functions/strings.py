@@ -24,6 +24,12 @@ WS = "[" + "".join(rf"\x{{{code:X}}}" for code in JS_SPACE_CODES) + "]"
 WORD_END = "(?![A-Za-z0-9_])"
 
 
+def literal_map(table: dict[str, str]) -> Column:
+    """Constant map from text to text."""
+    quoted = lambda text: f"r'{text}'" if "'" not in text else f'r"{text}"'
+    return F.expr("map(" + ", ".join(f"{quoted(k)}, {quoted(v)}" for k, v in table.items()) + ")")
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once per row and use it any number of times in ``body``."""
     return F.transform(F.array(value), body).getItem(0)
