@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,7 +57,7 @@ def pretty_json(text: Column) -> Column:
     spelling, so this is an Arrow-batched Python stage over the text column alone.
     """
 
-    def pretty(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def pretty(texts: pd.Series) -> pd.Series:
         import json
         import re
         from decimal import Decimal
@@ -127,10 +125,9 @@ def pretty_json(text: Column) -> Column:
             except (ValueError, RecursionError):
                 return text
 
-        for texts in batches:
-            yield pandas.Series([convert(t) for t in texts], dtype=object)
+        return pandas.Series([convert(t) for t in texts], dtype=object)
 
-    pretty.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    pretty.__annotations__ = {"texts": pd.Series, "return": pd.Series}
     return F.pandas_udf(pretty, "string")(text)
 
 
