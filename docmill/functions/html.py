@@ -5,7 +5,7 @@ Every pass maps a bound value to a column; ``html_markdown`` runs them in turn.
 
 from __future__ import annotations
 
-from functools import partial
+from functools import cache, partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -215,6 +215,12 @@ def html_markdown(text: Column) -> Column:
     return in_turn(text, HTML_PASSES)
 
 
+@cache
+def html_of(column: str) -> Column:
+    """``html_markdown`` of a named column, built once: micro-batches plan again and again."""
+    return html_markdown(F.col(column))
+
+
 def html_to_markdown(df: DataFrame, html_col: str = "html", out: str = "markdown") -> DataFrame:
     """Add the Markdown of an HTML column."""
-    return df.withColumn(out, html_markdown(F.col(html_col)))
+    return df.withColumn(out, html_of(html_col))

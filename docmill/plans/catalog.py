@@ -495,7 +495,8 @@ def sheet_to_markdown(spark, folder):
 
 @query
 def xlsx_to_markdown(spark, folder):
-    return _by_id(sheets.xlsx_to_markdown(_workbooks(spark, folder)), "status", "markdown")
+    parts = stored(_workbooks(spark, folder), "workbooks")
+    return _by_id(sheets.xlsx_to_markdown(parts), "status", "markdown")
 
 
 # Other documents
