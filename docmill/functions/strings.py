@@ -134,5 +134,11 @@ def fence_text(text: Column, language: str = "") -> Column:
 
 
 def percent_decode(text: Column) -> Column:
-    """Percent escapes decoded, ``+`` kept; NULL for a malformed escape."""
-    return F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+    """Percent escapes decoded, ``+`` kept; NULL for a malformed escape or malformed UTF-8."""
+    replaced, escape = F.lit(chr(0xFFFD)), F.lit("%EF%BF%BD")
+    return let(
+        F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B"))),
+        lambda d: F.when(
+            ~F.contains(d, replaced) | F.contains(text, replaced) | F.contains(F.upper(text), escape), d
+        ),
+    )

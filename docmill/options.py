@@ -12,7 +12,7 @@ CHOICES = ("auto", *ENGINES)
 DEFAULT_MAX_CHARS = 120_000
 DEFAULT_MAX_BYTES = 64 * 1024 * 1024
 DEFAULT_MAX_ENTRY_BYTES = 256 * 1024 * 1024
-# Longest string the original runtime can build; longer Markdown fails there too.
+# Longest Markdown one result can hold.
 MAX_RENDERED_CHARS = 2**29 - 24
 
 
