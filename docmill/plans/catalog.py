@@ -397,7 +397,7 @@ _text_job(
 
 @query
 def markdown_table(spark, folder):
-    items = S.table(spark, folder, "lineitem")
+    items = S.spread(S.table(spark, folder, "lineitem"), "l_orderkey")
     cells = F.array(S.word(F.col("l_linenumber")), F.concat("l_returnflag", F.lit("|"), "l_linestatus"), S.word(F.col("l_partkey")))
     kept = (F.col("l_linenumber") % 3 + 1).cast("int")
     rows = items.select(

@@ -21,12 +21,13 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/docmill-{purpose}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, purpose: str, by: str | None = None) -> DataFrame:
+def stored(df: DataFrame, purpose: str, by: str | None = None, path: str | None = None) -> DataFrame:
     """Write a table that is read several times once; later reads prune and filter it.
 
     With ``by`` each value has its own folder, so a reader of one value opens no other.
+    A given ``path`` is replaced, otherwise the table gets a fresh folder.
     """
-    path = shared_folder(df.sparkSession, purpose)
-    writer = df.write if by is None else df.write.partitionBy(by)
+    path = path or shared_folder(df.sparkSession, purpose)
+    writer = df.write.mode("overwrite") if by is None else df.write.mode("overwrite").partitionBy(by)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

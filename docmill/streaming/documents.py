@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from docmill.options import ConvertOptions
 from docmill.plans.convert import convert_documents
+from docmill.plans.storage import shared_folder
 from docmill.sources.files import within_size
 
 FILES = "path string, modificationTime timestamp, length bigint, content binary"
@@ -28,6 +29,8 @@ def stream_documents(
     A micro-batch writes its own ``batch_id`` folder in overwrite mode, so a batch that
     is run again after a failure replaces its first attempt.
     """
+    # Batches follow one another, so each may replace the unpacked parts of the one before.
+    parts_path = shared_folder(spark, "stream-parts")
     reader = (
         spark.readStream.format("binaryFile")
         .schema(FILES)
@@ -41,7 +44,7 @@ def stream_documents(
         documents = batch.select(
             F.col("path").alias("doc_id"), F.col("path").alias("input"), "content", "status", "error"
         )
-        results = convert_documents(documents, options, containers=containers)
+        results = convert_documents(documents, options, containers=containers, parts_path=parts_path)
         results.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch_id={batch_id}")
 
     return (
