@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docmill.llm import lm_scoring, mixing, quality_rules, resharding
+from docmill.llm import byte_bpe, lm_scoring, mixing, quality_rules, resharding
 from docmill.llm.shared import table
 
+RANKS = "byte_bpe_multi_50k.tiktoken"
 SHARDS = 16
 OLD_SHARDS = 12
 
@@ -34,4 +36,8 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_quality_rules, op3_resharding, op4_mixing)}
+def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return byte_bpe.digests(table(spark, folder, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+
+
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_quality_rules, op3_resharding, op4_mixing, op6_byte_bpe)}

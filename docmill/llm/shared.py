@@ -24,11 +24,15 @@ def kept(df: DataFrame, purpose: str) -> DataFrame:
 
 def send(spark: SparkSession, value) -> Broadcast:
     """Broadcast a value of bounded size, its classes included; ``received`` gives it in a task."""
-    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return spark.sparkContext.broadcast({"sent": cloudpickle.dumps(value)})
 
 
 def received(sent: Broadcast):
-    return pickle.loads(sent.value)
+    """The value, unpacked once per Python worker; later tasks of the worker get the same object."""
+    box = sent.value
+    if "value" not in box:
+        box["value"] = pickle.loads(box["sent"])
+    return box["value"]
 
 
 def remainder(doc_id: Column, of: int) -> Column:
