@@ -76,4 +76,16 @@ SELECT doc_id, size, source_size, target,
 FROM sums
 """
 
-ORACLES = {"op2_quality_rules": QUALITY, "op4_mixing": MIXING}
+WARC = """
+WITH facts AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), firsts AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM facts
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM firsts
+"""
+
+ORACLES = {"op2_quality_rules": QUALITY, "op4_mixing": MIXING, "op7_warc": WARC}

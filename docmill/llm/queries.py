@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docmill.llm import byte_bpe, lm_scoring, mixing, quality_rules, resharding
+from docmill.llm import byte_bpe, lm_scoring, mixing, pii, quality_rules, resharding, warc
 from docmill.llm.shared import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -40,4 +40,12 @@ def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.digests(table(spark, folder, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_quality_rules, op3_resharding, op4_mixing, op6_byte_bpe)}
+def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.captures(warc.read_records(spark, warc.write_archives(table(spark, folder, "pages"))))
+
+
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find(table(spark, folder, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_quality_rules, op3_resharding, op4_mixing, op6_byte_bpe, op7_warc, op10_pii)}

@@ -35,6 +35,22 @@ def powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+
+
+def borders(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of documents that lie one after the other."""
+    word = ~SPACE[data]
+    begins, ends = word.copy(), word.copy()
+    begins[1:] &= ~word[:-1]
+    ends[:-1] &= ~word[1:]
+    first = offsets[:-1][offsets[:-1] < offsets[1:]]
+    begins[first] |= word[first]
+    ends[first[first > 0] - 1] |= word[first[first > 0] - 1]
+    return np.flatnonzero(begins), np.flatnonzero(ends) + 1
+
+
 class Hasher:
     """Positional hashes of byte ranges; one per task, as it holds tables of powers."""
 
@@ -44,8 +60,6 @@ class Hasher:
             self.values[65:91] = self.values[97:123]
         self.up = powers(BASE, WINDOW)
         self.down = powers(pow(BASE, -1, 1 << 64), WINDOW)
-        self.space = np.zeros(256, bool)
-        self.space[[9, 10, 11, 12, 13, 32]] = True
 
     def grown(self, n: int) -> None:
         if n > len(self.up):
@@ -63,14 +77,7 @@ class Hasher:
 
     def words(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts, ends and hashes of the words of documents that lie one after the other."""
-        word = ~self.space[data]
-        begins, ends = word.copy(), word.copy()
-        begins[1:] &= ~word[:-1]
-        ends[:-1] &= ~word[1:]
-        first = offsets[:-1][offsets[:-1] < offsets[1:]]
-        begins[first] |= word[first]
-        ends[first[first > 0] - 1] |= word[first[first > 0] - 1]
-        starts, ends = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+        starts, ends = borders(data, offsets)
         hashes = np.empty(len(starts), np.uint64)
         at = 0
         while at < len(starts):
