@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docmill.llm import byte_bpe, lm_scoring, mixing, pii, quality_classifier, quality_rules, resharding, warc
+from docmill.llm import byte_bpe, lm_scoring, mixing, ngram_join, pii, quality_classifier, quality_rules, resharding, warc
 from docmill.llm.shared import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -48,8 +48,12 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find(table(spark, folder, "documents"))
 
 
+def op8_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.join(table(spark, folder, "documents"))
+
+
 def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_classifier.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_quality_rules, op3_resharding, op4_mixing, op6_byte_bpe, op7_warc, op9_quality_classifier, op10_pii)}
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_quality_rules, op3_resharding, op4_mixing, op6_byte_bpe, op7_warc, op8_ngram_join, op9_quality_classifier, op10_pii)}
