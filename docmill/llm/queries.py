@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docmill.llm import byte_bpe, lm_scoring, mixing, ngram_join, pii, quality_classifier, quality_rules, resharding, warc
+from docmill.llm import byte_bpe, lm_scoring, mixing, ngram_join, pii, product_quantisation, quality_classifier, quality_rules, resharding, warc
 from docmill.llm.shared import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -36,6 +36,10 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return product_quantisation.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.digests(table(spark, folder, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
@@ -56,4 +60,4 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_classifier.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_quality_rules, op3_resharding, op4_mixing, op6_byte_bpe, op7_warc, op8_ngram_join, op9_quality_classifier, op10_pii)}
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_quality_rules, op3_resharding, op4_mixing, op5_embedding_dedup, op6_byte_bpe, op7_warc, op8_ngram_join, op9_quality_classifier, op10_pii)}
