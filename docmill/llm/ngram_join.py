@@ -8,12 +8,11 @@ a key meet in tiles by size band (a set is compared within its band and with the
 Within a tile, bitmap signatures of the parity of hashed shingles bound the overlap from above
 before sorted arrays are intersected.
 
-Links are found in two turns. First, tiles of a class's first keys are compared, passing over
-pairs already connected there. Components of these links are then known, and only keys that
-still hold several components are looked at, for pairs across components; each such pair is
-compared. So large groups of near copies cost about one comparison a member, and no link between
-different components is lost. Large tiles are cut by a hash: the first turn does not compare
-across the cuts, the second one compares all of them.
+Links are found in two turns. First, in tiles of a class's first keys, each class is compared with
+the first likely one before it. Components of these links are then known, and only keys that still
+hold several components are looked at, for pairs across components; each such pair is compared.
+So large groups of near copies cost about one comparison a member, and no link between different
+components is lost. Large tiles are cut by a hash, and all cuts are compared with each other.
 
 Defined cases: null and empty texts have empty sets and are linked with nothing; a text of fewer
 words than a shingle has them all as its one shingle; repeated rows are copies of each other; an
@@ -191,27 +190,40 @@ def tiles(rows: DataFrame, percent: int) -> DataFrame:
     return rows.withColumn("cut", cut).withColumn("place", place).select("*", "place.band", "place.home").drop("place")
 
 
-def runs(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
-    """Groups of rows, sorted by ``columns``, as one batch each."""
+def changes(batch: pa.RecordBatch, columns: tuple[str, ...]) -> np.ndarray:
+    """Where a row differs from the one before it in any of the columns."""
+    change = np.zeros(max(batch.num_rows - 1, 0), bool)
+    for c in columns:
+        values = batch.column(c).to_numpy(zero_copy_only=False)
+        change |= values[1:] != values[:-1]
+    return change
+
+
+def whole_runs(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
+    """The rows, sorted by ``columns``, in batches that never part rows equal in them."""
     left = None
     for batch in batches:
-        whole = pa.Table.from_batches([batch] if left is None else [left, batch]).combine_chunks()
-        if not whole.num_rows:
+        if not batch.num_rows:
             continue
-        batch = whole.to_batches()[0]
-        change = np.zeros(batch.num_rows - 1, bool)
-        for c in columns:
-            values = batch.column(c).to_numpy(zero_copy_only=False)
-            change |= values[1:] != values[:-1]
-        edges = [0, *(np.flatnonzero(change) + 1).tolist()]
-        for a, b in zip(edges, edges[1:], strict=False):
-            yield batch.slice(a, b - a)
-        left = batch.slice(edges[-1])
+        batch = pa.Table.from_batches([batch] if left is None else [left, batch]).combine_chunks().to_batches()[0]
+        edges = np.flatnonzero(changes(batch, columns))
+        cut = int(edges[-1]) + 1 if len(edges) else 0
+        if cut:
+            yield batch.slice(0, cut)
+        left = batch.slice(cut)
     if left is not None and left.num_rows:
         yield left
 
 
-def likely(n: int, bits: np.ndarray, sizes: np.ndarray, signatures: np.ndarray, percent: int) -> np.ndarray:
+def runs(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
+    """Groups of rows, sorted by ``columns``, as one batch each."""
+    for batch in whole_runs(batches, columns):
+        edges = [0, *(np.flatnonzero(changes(batch, columns)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(edges, edges[1:], strict=False):
+            yield batch.slice(a, b - a)
+
+
+def likely(n: int | np.ndarray, bits: np.ndarray, sizes: np.ndarray, signatures: np.ndarray, percent: int) -> np.ndarray:
     """Which sets may be similar to one of n shingles: by size, and by the bound of the bitmaps on the overlap."""
     most = (n + sizes - np.bitwise_count(signatures ^ bits).sum(1, dtype=np.int64)) // 2
     most = np.minimum(most, np.minimum(n, sizes))
@@ -225,55 +237,35 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int(member(a, b).sum())
 
 
-def first_links(rows: DataFrame, percent: int) -> DataFrame:
-    """Links ``(a, b)`` that connect the similar sets of each tile; rows have their shingles."""
-
-    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = [], []
-        for tile in runs(batches, ("key", "band", "cut")):
-            if tile.num_rows < 2:
-                continue
-            names, sizes = tile.column("name").to_numpy(), tile.column("n").to_numpy()
-            home = tile.column("home").to_numpy(zero_copy_only=False)
-            if not home.any():
-                continue
-            sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in tile.column("shingles")]
-            signatures = np.stack([np.frombuffer(x, np.uint64) for x in map(bitmap, sets)])
-            part = np.arange(len(sets))
-            for i in np.flatnonzero(home).tolist():
-                others = likely(int(sizes[i]), signatures[i], sizes, signatures, percent)
-                others[i] = False
-                for j in np.flatnonzero(others).tolist():
-                    if part[i] == part[j] or (home[j] and j > i):
-                        continue
-                    both = overlap(sets[i], sets[j])
-                    if 100 * both >= percent * (sizes[i] + sizes[j] - both):
-                        a.append(names[i])
-                        b.append(names[j])
-                        part[part == part[j]] = part[i]
-            if len(a) > 1 << 16:
-                yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-                a, b = [], []
-        yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-    placed = rows.repartition("key", "band", "cut").sortWithinPartitions("key", "band", "cut")
-    return placed.select("key", "band", "cut", "home", "name", "n", "shingles").mapInArrow(linked, "a long, b long")
-
-
-def open_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs across components, within tiles, that sizes and bitmaps allow. Every row meets all cuts of its tile."""
+def open_pairs(rows: DataFrame, percent: int, first_only: bool) -> DataFrame:
+    """Pairs across components, within tiles, that sizes and bitmaps allow. Every row meets all cuts of its tile.
+
+    With ``first_only`` a row is paired with the first one before it only.
+    """
 
     def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tile in runs(batches, ("key", "band", "cut", "other")):
-            names, sizes, part = (tile.column(c).to_numpy() for c in ("name", "n", "component"))
-            left, right = (tile.column(c).to_numpy(zero_copy_only=False) for c in ("left", "right"))
-            signatures = np.stack([np.frombuffer(s.as_buffer(), np.uint64) for s in tile.column("bits")])
-            at = np.flatnonzero(right)
-            for i in np.flatnonzero(left).tolist():
-                near = likely(int(sizes[i]), signatures[i], sizes[at], signatures[at], percent) & (part[at] != part[i])
-                found = names[at[near]]
-                if len(found):
-                    yield pa.record_batch([pa.array(np.minimum(found, names[i])), pa.array(np.maximum(found, names[i]))], ["a", "b"])
+        for block in whole_runs(batches, ("key", "band", "cut", "other")):
+            names, sizes, part = (block.column(c).to_numpy() for c in ("name", "n", "component"))
+            left, right = (block.column(c).to_numpy(zero_copy_only=False) for c in ("left", "right"))
+            signatures = np.frombuffer(b"".join(block.column("bits").to_pylist()), np.uint64).reshape(len(names), -1)
+            tile = np.concatenate([[0], np.cumsum(changes(block, ("key", "band", "cut", "other")))])
+            found, at, claimed = [], np.arange(len(names) - 1), np.zeros(len(names), bool)
+            for step in range(1, len(names)):
+                at = at[at < len(names) - step]
+                at = at[tile[at] == tile[at + step]]
+                if not len(at):
+                    break
+                to = at + step
+                met = (part[at] != part[to]) & (left[at] & right[to] | left[to] & right[at])
+                i, j = at[met], to[met]
+                fits = 100 * np.minimum(sizes[i], sizes[j]) >= percent * np.maximum(sizes[i], sizes[j])
+                i, j = i[fits], j[fits]
+                good = likely(sizes[i], signatures[i], sizes[j], signatures[j], percent)
+                found.append(np.stack([np.minimum(names[i[good]], names[j[good]]), np.maximum(names[i[good]], names[j[good]])]))
+                if first_only:
+                    found[-1] = found[-1][:, claim(claimed, j[good])]
+            if found and (pairs := np.unique(np.concatenate(found, axis=1), axis=1)).size:
+                yield pa.record_batch([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
 
     cuts = F.greatest(F.lit(1), F.ceil(F.col("m") / TILE))
     every = F.sequence(F.lit(0), cuts - 1)
@@ -287,6 +279,13 @@ def open_pairs(rows: DataFrame, percent: int) -> DataFrame:
     return placed.mapInArrow(paired, "a long, b long").distinct()
 
 
+def claim(claimed: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Which of the rows are new; they are noted."""
+    new = ~claimed[rows]
+    claimed[rows] = True
+    return new
+
+
 def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose sets are similar enough, by intersecting sorted arrays."""
 
@@ -310,20 +309,22 @@ def join(docs: DataFrame, options: Options = Options()) -> DataFrame:  # noqa: B
     keys = classes.select(F.explode("keys").alias("key"), "name")
     shared = kept(keys.groupBy("key").agg(F.min("name").alias("low"), F.max("name").alias("high"), F.count("*").alias("m")).where("low <> high").select("key", "m"), "shared-keys")
     open_keys = kept(keys.join(shared, "key").distinct(), "open-keys")
-    sets = kept(shingles_of(docs, open_keys.select("name").distinct(), options), "open-sets")
+
+    def links_of(rows: DataFrame, first_only: bool) -> DataFrame:
+        pairs = kept(open_pairs(tiles(rows, options.percent), options.percent, first_only), "set-pairs")
+        wanted = pairs.select(F.col("a").alias("name")).unionByName(pairs.select(F.col("b").alias("name"))).distinct()
+        return kept(similar(pairs, kept(shingles_of(docs, wanted, options), "sets"), options.percent), "set-links")
 
     facts = classes.select("name", "n", "bits", F.slice("keys", 1, options.first_keys).alias("first")).dropDuplicates(["name"])
-    start = facts.select("name", "n", F.explode("first").alias("key")).join(shared, "key").join(sets, "name")
-    links = kept(first_links(tiles(start, options.percent), options.percent), "first-links")
-    parts = kept(components(links, "first-parts"), "first-components")
+    start = facts.select("name", "n", "bits", F.explode("first").alias("key")).join(shared, "key").withColumn("component", F.col("name"))
+    links = links_of(start, True)
+    parts = components(links, "first-parts")
 
     part: Column = F.coalesce("component", "name")
-    placed = open_keys.join(parts.withColumnRenamed("node", "name"), "name", "left").withColumn("component", part)
+    placed = kept(open_keys.join(parts.withColumnRenamed("node", "name"), "name", "left").withColumn("component", part), "placed-keys")
     mixed_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
     rest = placed.join(mixed_keys, "key").join(facts.select("name", "n", "bits"), "name")
-    pairs = kept(open_pairs(tiles(rest, options.percent), options.percent), "open-pairs")
-    links = links.unionByName(similar(pairs, sets, options.percent))
-    ends = kept(components(links, "parts"), "components")
+    ends = components(links.unionByName(links_of(rest, False)), "parts")
 
     known = rows.where("n IS NOT NULL")
     firsts = known.where("n > 0").groupBy("name").agg(F.min("doc_id").alias("first"))
