@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from docmill.llm.shared import kept, received, remainder, send
 from docmill.llm.textops import Hasher, bytes_of, counts_of, grams, mixed, slices
 
-ROWS = 1 << 17
+ROWS = 1 << 16
 SIZES = (3, 4, 5)
 REPEATED = 0
 
@@ -36,8 +36,8 @@ REPEATED = 0
 class Options:
     #: At most so many labelled documents are trained on.
     sample: int = 8192
-    parts: int = 8
-    size: int = 10
+    parts: int = 4
+    size: int = 8
     rounds: int = 6
     epochs: int = 2
     batch: int = 32
@@ -84,7 +84,7 @@ class Features:
 
     @staticmethod
     def rows(hashes: np.ndarray) -> np.ndarray:
-        return np.maximum(mixed(hashes) >> np.uint64(47), np.uint64(1)).astype(np.int32)
+        return np.maximum(mixed(hashes) >> np.uint64(48), np.uint64(1)).astype(np.int32)
 
 
 def bags(features: Features, data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -169,14 +169,14 @@ def trained(texts: DataFrame, options: Options) -> Softmax:
                 labels += batch.column("label").to_pylist()
             if rows:
                 mine.train(rows, np.array(labels), options, TaskContext.get().partitionId() * options.rounds + turn)
-                flat = mine.flat().astype(np.float64) * len(rows)
+                flat = mine.flat() * np.float32(len(rows))
                 for i in range(0, len(flat), chunk):
                     yield pa.record_batch([pa.array([i // chunk], pa.int32()), pa.array([len(rows)], pa.int64()), pa.array([flat[i : i + chunk].tobytes()], pa.binary())], ["chunk", "n", "sums"])
 
         def added(frame):
             import pandas
 
-            sums = np.sum([np.frombuffer(x) for x in frame["sums"]], axis=0) / frame["n"].sum()
+            sums = np.sum([np.frombuffer(x, np.float32) for x in frame["sums"]], axis=0) / frame["n"].sum()
             return pandas.DataFrame({"chunk": frame["chunk"][:1], "mean": [sums.astype(np.float32).tobytes()]})
 
         rows = texts.mapInArrow(steps, "chunk int, n long, sums binary").groupBy("chunk").applyInPandas(added, "chunk int, mean binary")
