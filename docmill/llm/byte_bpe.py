@@ -31,8 +31,10 @@ from docmill.llm.textops import slices
 ROOT = 0
 #: Open starts are packed as the token before them and the trie node; before the first token there is NOTHING.
 LOW, NOTHING = (1 << 20) - 1, (1 << 20) - 1
-#: Entries of a task's tables before they are begun anew.
-STATES, PIECES = 1 << 17, 1 << 17
+#: Tokens tried when asking whether a start may still become one.
+TRIES = 96
+#: Entries of a worker's tables before they are begun anew.
+STATES, PIECES = 1 << 18, 1 << 19
 NO_END = 1 << 40
 #: Below this character a word of letters is one piece whatever the version of the character tables.
 LETTERS_END = "\u0250"
@@ -54,15 +56,21 @@ class Transducer:
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.child: dict[int, int] = {}
         self.token_at: list[int] = [-1]
-        for token, rank in ranks.items():
+        self.below: list[list[int]] = [[0, 0]]
+        self.in_order = sorted(ranks)
+        for place, token in enumerate(self.in_order):
             node = ROOT
             for b in token:
                 key = node << 8 | b
                 if key not in self.child:
                     self.child[key] = len(self.token_at)
                     self.token_at.append(-1)
+                    self.below.append([place, place])
                 node = self.child[key]
-            self.token_at[node] = rank
+                self.below[node][1] = place + 1
+            self.token_at[node] = ranks[token]
+            self.below[node][0] = place + 1
+        self.live: dict[int, bool] = {}
         self.halves: dict[int, tuple[int, int] | None] = {}
         self.pairs: dict[int, bool] = {}
         self.edges: tuple[dict, dict] = {}, {}
@@ -134,6 +142,19 @@ class Transducer:
             self.pairs[pair] = known
         return known
 
+    def open(self, place: int) -> bool:
+        """Whether a start may still become a token; after some tries without an answer it is said to."""
+        known = self.live.get(place)
+        if known is None:
+            if len(self.live) > 4 * STATES:
+                self.live.clear()
+            last, (low, high) = place >> 20, self.below[place & LOW]
+            known = low < high and (last == NOTHING or high - low > TRIES)
+            if low < high and not known:
+                known = any(self.made(t) and self.fits(last, t) for t in map(self.ranks.__getitem__, self.in_order[low:high]))
+            self.live[place] = known
+        return known
+
     def move(self, state: int, byte: int) -> tuple[int, bytes]:
         """Determinise one step: the next state, and the tokens on which all open starts agree."""
         after = []
@@ -142,7 +163,8 @@ class Transducer:
             if node is None:
                 continue
             last = place >> 20
-            after.append((last << 20 | node, out))
+            if self.open(last << 20 | node):
+                after.append((last << 20 | node, out))
             token = self.token_at[node]
             if token >= 0 and self.made(token) and (last == NOTHING or self.fits(last, token)):
                 after.append((token << 20 | ROOT, out + token.to_bytes(4, "little")))
@@ -183,6 +205,11 @@ class Pieces(dict):
         self.transducer, self.pattern, self.prefix = transducer, pattern, prefix
         self.older: dict[str, bytes] = {}
 
+    def known(self, piece: str) -> bytes:
+        """Ids of one piece, which may have been a text of its own."""
+        text = piece[len(self.prefix) :] if piece.startswith(self.prefix) else ""
+        return (text and (self.get(text) or self.older.get(text))) or self.transducer.encode(piece.encode())
+
     def __missing__(self, text: str) -> bytes:
         value = self.older.get(text)
         if value is not None:
@@ -192,7 +219,7 @@ class Pieces(dict):
         if text.isalpha() and max(text) < LETTERS_END:
             value = self.transducer.encode(whole.encode())
         else:
-            value = b"".join([self.transducer.encode(piece.encode()) for piece in self.pattern.findall(whole)])
+            value = b"".join([self.known(piece) for piece in self.pattern.findall(whole)])
         if len(self) > PIECES:
             self.older = dict(self)
             self.clear()
