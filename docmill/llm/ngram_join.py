@@ -35,7 +35,7 @@ from docmill.llm.textops import Hasher, bytes_of, counts_of, grams, lists, mixed
 
 BITS = 1024
 #: Rows of a tile that are compared with each other at a time; larger tiles are cut.
-TILE = 1024
+TILE = 512
 #: A shingle in so many sets of a slice is counted, and one in so many sets overall is common.
 COUNTED, COMMON = 4, 64
 #: Common shingles that are sent to all executors; the order of the others is as good, only slower.
@@ -244,11 +244,11 @@ def open_pairs(rows: DataFrame, percent: int, first_only: bool) -> DataFrame:
     """
 
     def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in whole_runs(batches, ("key", "band", "cut", "other")):
+        for block in whole_runs(batches, ("tile",)):
             names, sizes, part = (block.column(c).to_numpy() for c in ("name", "n", "component"))
             left, right = (block.column(c).to_numpy(zero_copy_only=False) for c in ("left", "right"))
             signatures = np.frombuffer(b"".join(block.column("bits").to_pylist()), np.uint64).reshape(len(names), -1)
-            tile = np.concatenate([[0], np.cumsum(changes(block, ("key", "band", "cut", "other")))])
+            tile = block.column("tile").to_numpy()
             found, at, claimed = [], np.arange(len(names) - 1), np.zeros(len(names), bool)
             for step in range(1, len(names)):
                 at = at[at < len(names) - step]
@@ -261,11 +261,12 @@ def open_pairs(rows: DataFrame, percent: int, first_only: bool) -> DataFrame:
                 fits = 100 * np.minimum(sizes[i], sizes[j]) >= percent * np.maximum(sizes[i], sizes[j])
                 i, j = i[fits], j[fits]
                 good = likely(sizes[i], signatures[i], sizes[j], signatures[j], percent)
-                found.append(np.stack([np.minimum(names[i[good]], names[j[good]]), np.maximum(names[i[good]], names[j[good]])]))
+                i, j = i[good], j[good]
+                found.append(np.stack([tile[i], np.minimum(names[i], names[j]), np.maximum(names[i], names[j])]))
                 if first_only:
-                    found[-1] = found[-1][:, claim(claimed, j[good])]
+                    found[-1] = found[-1][:, claim(claimed, j)]
             if found and (pairs := np.unique(np.concatenate(found, axis=1), axis=1)).size:
-                yield pa.record_batch([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+                yield pa.record_batch([pa.array(x) for x in pairs], ["tile", "a", "b"])
 
     cuts = F.greatest(F.lit(1), F.ceil(F.col("m") / TILE))
     every = F.sequence(F.lit(0), cuts - 1)
@@ -275,8 +276,9 @@ def open_pairs(rows: DataFrame, percent: int, first_only: bool) -> DataFrame:
     )
     once = F.filter(ways, lambda w: ~(F.col("home") & ~w["left"] & (w["cut"] == w["other"])))
     spread = rows.withColumn("way", F.explode(once)).select("key", "band", "way.*", "name", "n", "bits", "component")
-    placed = spread.repartition("key", "band", "cut", "other").sortWithinPartitions("key", "band", "cut", "other")
-    return placed.mapInArrow(paired, "a long, b long").distinct()
+    spread = spread.withColumn("tile", F.xxhash64("key", "band", "cut", "other")).drop("key", "band", "cut", "other")
+    placed = spread.repartition("tile").sortWithinPartitions("tile")
+    return placed.mapInArrow(paired, "tile long, a long, b long").groupBy("a", "b").agg(F.min("tile").alias("tile"))
 
 
 def claim(claimed: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -287,19 +289,41 @@ def claim(claimed: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 
 def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose sets are similar enough, by intersecting sorted arrays."""
+    """Links ``(a, b)`` that connect the similar sets among the pairs, by intersecting sorted arrays.
+
+    A set is brought once to each tile that has pairs of it. Pairs that earlier links of their
+    tile connect are passed over.
+    """
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = overlap(x, y)
-                good.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    x, y = (sets.select(F.col("name").alias(side), F.col("shingles").alias(column)) for side, column in (("a", "x"), ("b", "y")))
-    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(compared, "a long, b long")
+        for tile in runs(batches, ("tile",)):
+            a, b, shingles = tile.column("a").to_numpy(), tile.column("b").to_numpy(zero_copy_only=False), tile.column("shingles")
+            known, part, links = {}, {}, []
+
+            def root(x, part=part):
+                while part.setdefault(x, x) != x:
+                    part[x] = x = part[part[x]]
+                return x
+
+            for i in range(tile.num_rows):
+                if shingles[i].is_valid:
+                    known[int(a[i])] = np.frombuffer(shingles[i].as_buffer(), np.uint64)
+                    continue
+                x, y = int(a[i]), int(b[i])
+                if root(x) == root(y):
+                    continue
+                both = overlap(known[x], known[y])
+                if 100 * both >= percent * (len(known[x]) + len(known[y]) - both):
+                    part[root(x)] = root(y)
+                    links.append((x, y))
+            if links:
+                yield pa.record_batch([pa.array(v, pa.int64()) for v in zip(*links, strict=True)], ["a", "b"])
+
+    ends = pairs.select("tile", F.col("a").alias("name")).unionByName(pairs.select("tile", F.col("b").alias("name"))).distinct()
+    members = ends.join(sets, "name").select("tile", F.col("name").alias("a"), F.lit(0).cast("long").alias("b"), "shingles", F.lit(0).alias("turn"))
+    rows = members.unionByName(pairs.select("tile", "a", "b", F.lit(None).cast("binary").alias("shingles"), F.lit(1).alias("turn")))
+    placed = rows.repartition("tile").sortWithinPartitions("tile", "turn").select("tile", "a", "b", "shingles")
+    return placed.mapInArrow(compared, "a long, b long")
 
 
 def join(docs: DataFrame, options: Options = Options()) -> DataFrame:  # noqa: B008
