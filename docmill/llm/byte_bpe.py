@@ -387,14 +387,17 @@ def decode_ids(rows: DataFrame, ranks_path: str) -> DataFrame:
     return rows.select("doc_id", "ids").mapInArrow(decoded_rows, kind)
 
 
-def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """Encode and decode in one pass: number of tokens and digests of the ids and of the decoded bytes."""
+def digests(docs: DataFrame, ranks_path: str, pattern: str, with_ids: bool = False) -> DataFrame:
+    """Encode and decode in one pass: number of tokens, digests of the ids and of the decoded bytes, the ids if wanted."""
     tools = send(docs.sparkSession, Tools(read_ranks(ranks_path), pattern))
+    kind = docs.select("doc_id").schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
+    if with_ids:
+        kind = kind.add("ids", "binary")
 
     def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = received(tools).encoder(), received(tools).decoder()
         for batch in slices(batches):
-            n, sums, texts = [], [], []
+            n, sums, texts, tokens = [], [], [], []
             for text in batch.column("text").to_pylist():
                 ids = encoder(text or "")
                 decoded = hashlib.sha256()
@@ -403,7 +406,9 @@ def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                 n.append(len(ids) // 4)
                 sums.append(hashlib.sha256(ids).hexdigest())
                 texts.append(decoded.hexdigest())
-            yield pa.record_batch([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(sums, pa.string()), pa.array(texts, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                if with_ids:
+                    tokens.append(ids)
+            columns = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(sums, pa.string()), pa.array(texts, pa.string())]
+            yield pa.record_batch(columns + [pa.array(tokens, pa.binary())] * with_ids, kind.names)
 
-    kind = docs.select("doc_id").schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
     return docs.select(F.col("doc_id"), "text").mapInArrow(both, kind)

@@ -358,3 +358,11 @@ def join(docs: DataFrame, options: Options = Options()) -> DataFrame:  # noqa: B
     empty = known.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     full = known.where("n > 0").join(by_name, "name").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return full.unionByName(empty)
+
+
+def one_of_each(docs: DataFrame, options: Options = Options()) -> DataFrame:  # noqa: B008
+    """All columns of one document of each component: the one with the smallest id; rows that repeat
+    id and text stay once. Rows without an id are in no component and stay."""
+    first = join(docs, options).where("doc_id = component_id").select("doc_id").distinct()
+    named = docs.where("doc_id IS NOT NULL").join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return named.unionByName(docs.where("doc_id IS NULL"))
