@@ -6,12 +6,14 @@ as the ``docs`` of the next one.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docmill.llm import mixing, quality_rules
+from docmill.llm import byte_bpe, mixing, ngram_join, pii, quality_rules
 from docmill.llm.shared import kept, table
 
+RANKS = "byte_bpe_multi_50k.tiktoken"
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -25,17 +27,38 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return documents_of(quality_rules.apply_rules(docs.select(*COLUMNS)).where("kept"), "cleaned")
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar ones."""
+    return ngram_join.one_of_each(docs.select(*COLUMNS), ngram_join.Options(words=5, percent=80)).select(*COLUMNS)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with personal data replaced by its kind."""
+    return documents_of(pii.redacted(docs.select(*COLUMNS)))
+
+
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     return mixing.repeated(mixing.mix(docs.select(*COLUMNS))).select(*COLUMNS)
 
 
-STAGES = [("quality rules", quality), ("mixing", mixture)]
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every text, and digests that show what they decode to."""
+    return byte_bpe.digests(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, with_ids=True)
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("n-gram Jaccard join", near_duplicates),
+    ("personal data", personal_data),
+    ("mixing", mixture),
+    ("byte-level BPE", tokens),
+]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = kept(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = kept(stage(spark, docs, sf_dir), name.lower().replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)
