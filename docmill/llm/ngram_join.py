@@ -5,8 +5,8 @@ class. Two sets that are similar enough share a shingle among the first few of e
 order, so only those few are keys; shingles found in very many documents come last in the order,
 which keeps common passages from being keys. Keys of one class alone lead nowhere. The classes of
 a key meet in tiles by size band (a set is compared within its band and with the next larger one).
-Within a tile, bitmap signatures of the parity of hashed shingles bound the overlap from above
-before sorted arrays are intersected.
+Within a tile, bitmap signatures of the parity of hashed shingles bound the overlap from above,
+first short ones, then ones as long as the sets need, before sorted arrays are intersected.
 
 Links are found in two turns. First, in tiles of a class's first keys, each class is compared with
 the first likely one before it. Components of these links are then known, and only keys that still
@@ -160,10 +160,11 @@ def keyed(docs: DataFrame, common: np.ndarray, options: Options) -> DataFrame:
             pa.array(names, pa.int64()),
             pa.array([len(s) for s in sets], pa.int64()),
             pa.array([bitmap(s) for s in sets], pa.binary()),
+            pa.array([fine(s) for s in sets], pa.binary()),
             lists(np.concatenate(keys).view(np.int64), np.array([len(k) for k in keys]), pa.int64()),
         ]
 
-    return each_set(docs, options.words, "name long, n long, bits binary, keys array<long>", ["name", "n", "bits", "keys"], made, common)
+    return each_set(docs, options.words, "name long, n long, bits binary, fine binary, keys array<long>", ["name", "n", "bits", "fine", "keys"], made, common)
 
 
 def shingles_of(docs: DataFrame, wanted: DataFrame, options: Options) -> DataFrame:
@@ -288,17 +289,41 @@ def claim(claimed: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return new
 
 
-def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links ``(a, b)`` that connect the similar sets among the pairs, by intersecting sorted arrays.
+def fine(shingles: np.ndarray) -> bytes:
+    """A bitmap of about four bits a shingle or more, a power of two of them."""
+    size = max(256, 1 << (4 * len(shingles) - 1).bit_length())
+    bits = np.bincount((shingles & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(bits.astype(bool)).tobytes()
+
+
+def may_match(x: bytes, y: bytes, n: int, m: int, percent: int) -> bool:
+    """The bound on the overlap by fine bitmaps; a longer one is folded to the length of the other."""
+    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    if len(a) < len(b):
+        a, b = b, a
+    while len(a) > len(b):
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    most = min(n, m, (n + m - int(np.bitwise_count(a ^ b).sum())) // 2)
+    return 100 * most >= percent * (n + m - most)
+
+
+def match(x: bytes, y: bytes, n: int, m: int, percent: int) -> bool:
+    both = overlap(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64))
+    return 100 * both >= percent * (n + m - both)
+
+
+def by_tile(pairs: DataFrame, values: DataFrame, test, percent: int, connect: bool) -> DataFrame:
+    """The pairs ``(tile, a, b)`` that pass a test of both sides' ``values(name, n, value)``.
 
-    A set is brought once to each tile that has pairs of it. Pairs that earlier links of their
-    tile connect are passed over.
+    A value is brought once to each tile that has pairs of it. With ``connect`` pairs that earlier
+    ones of their tile connect are passed over.
     """
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tile in runs(batches, ("tile",)):
-            a, b, shingles = tile.column("a").to_numpy(), tile.column("b").to_numpy(zero_copy_only=False), tile.column("shingles")
-            known, part, links = {}, {}, []
+            number, a, b, n = (tile.column(c).to_numpy() for c in ("tile", "a", "b", "n"))
+            value = tile.column("value")
+            known, part, good = {}, {}, []
 
             def root(x, part=part):
                 while part.setdefault(x, x) != x:
@@ -306,24 +331,24 @@ def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 return x
 
             for i in range(tile.num_rows):
-                if shingles[i].is_valid:
-                    known[int(a[i])] = np.frombuffer(shingles[i].as_buffer(), np.uint64)
+                if value[i].is_valid:
+                    known[int(a[i])] = value[i].as_buffer(), int(n[i])
                     continue
                 x, y = int(a[i]), int(b[i])
-                if root(x) == root(y):
+                if connect and root(x) == root(y):
                     continue
-                both = overlap(known[x], known[y])
-                if 100 * both >= percent * (len(known[x]) + len(known[y]) - both):
+                (one, size), (two, other) = known[x], known[y]
+                if test(one, two, size, other, percent):
                     part[root(x)] = root(y)
-                    links.append((x, y))
-            if links:
-                yield pa.record_batch([pa.array(v, pa.int64()) for v in zip(*links, strict=True)], ["a", "b"])
+                    good.append((number[i], x, y))
+            if good:
+                yield pa.record_batch([pa.array(v, pa.int64()) for v in zip(*good, strict=True)], ["tile", "a", "b"])
 
     ends = pairs.select("tile", F.col("a").alias("name")).unionByName(pairs.select("tile", F.col("b").alias("name"))).distinct()
-    members = ends.join(sets, "name").select("tile", F.col("name").alias("a"), F.lit(0).cast("long").alias("b"), "shingles", F.lit(0).alias("turn"))
-    rows = members.unionByName(pairs.select("tile", "a", "b", F.lit(None).cast("binary").alias("shingles"), F.lit(1).alias("turn")))
-    placed = rows.repartition("tile").sortWithinPartitions("tile", "turn").select("tile", "a", "b", "shingles")
-    return placed.mapInArrow(compared, "a long, b long")
+    members = ends.join(values, "name").select("tile", F.col("name").alias("a"), F.lit(0).cast("long").alias("b"), "n", "value", F.lit(0).alias("turn"))
+    rows = members.unionByName(pairs.select("tile", "a", "b", F.lit(0).cast("long").alias("n"), F.lit(None).cast("binary").alias("value"), F.lit(1).alias("turn")))
+    placed = rows.repartition("tile").sortWithinPartitions("tile", "turn").select("tile", "a", "b", "n", "value")
+    return placed.mapInArrow(compared, "tile long, a long, b long")
 
 
 def join(docs: DataFrame, options: Options = Options()) -> DataFrame:  # noqa: B008
@@ -335,9 +360,12 @@ def join(docs: DataFrame, options: Options = Options()) -> DataFrame:  # noqa: B
     open_keys = kept(keys.join(shared, "key").distinct(), "open-keys")
 
     def links_of(rows: DataFrame, first_only: bool) -> DataFrame:
-        pairs = kept(open_pairs(tiles(rows, options.percent), options.percent, first_only), "set-pairs")
+        rough = open_pairs(tiles(rows, options.percent), options.percent, first_only)
+        pairs = kept(by_tile(rough, classes.select("name", "n", F.col("fine").alias("value")).dropDuplicates(["name"]), may_match, options.percent, False), "set-pairs")
         wanted = pairs.select(F.col("a").alias("name")).unionByName(pairs.select(F.col("b").alias("name"))).distinct()
-        return kept(similar(pairs, kept(shingles_of(docs, wanted, options), "sets"), options.percent), "set-links")
+        sets = shingles_of(docs, wanted, options).select("name", F.octet_length("shingles").cast("long").alias("bytes"), F.col("shingles").alias("value"))
+        sets = sets.withColumn("n", F.expr("bytes div 8")).drop("bytes")
+        return kept(by_tile(pairs, sets, match, options.percent, True).select("a", "b"), "set-links")
 
     facts = classes.select("name", "n", "bits", F.slice("keys", 1, options.first_keys).alias("first")).dropDuplicates(["name"])
     start = facts.select("name", "n", "bits", F.explode("first").alias("key")).join(shared, "key").withColumn("component", F.col("name"))
