@@ -261,7 +261,7 @@ def utf8_step(state: tuple[int, int, int], byte: int) -> tuple[int, int, int] |
     """One step of the machine. A state is how many bytes are missing and the range of the next one; None: not UTF-8."""
     missing, low, high = state
     if missing:
-        return (missing - 1, 0x80, 0xBF) if low <= byte <= high else None
+        return ((missing - 1, 0x80, 0xBF) if missing > 1 else (0, 0, 0)) if low <= byte <= high else None
     if byte < 0x80:
         return (0, 0, 0)
     if 0xC2 <= byte <= 0xDF:

@@ -48,7 +48,7 @@ NOTHING = 1e-30
 class Options:
     size: int = 24
     noise: int = 48
-    batch: int = 4096
+    batch: int = 1024
     rates: tuple[float, ...] = (0.15, 0.08, 0.04)
     held_out_of: int = 10
 

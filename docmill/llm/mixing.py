@@ -34,7 +34,7 @@ def word_count(text: Column) -> Column:
 
 def quality_weight(text: Column) -> Column:
     """The share of a-z among all characters, at least 0.05: prose weighs more than tables and shouting."""
-    return F.greatest(F.lit(0.05), F.coalesce(F.length(F.regexp_replace(text, "[^a-z]+", "")) / F.length(text), F.lit(0.05)))
+    return F.greatest(F.lit(0.05), F.coalesce(F.length(F.regexp_replace(text, "[^a-z]+", "")) / F.nullif(F.length(text), F.lit(0)), F.lit(0.05)))
 
 
 def draw(doc_id: Column, seed: int) -> Column:
@@ -99,5 +99,5 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), seed: int = 11) -
 
 def repeated(mixed: DataFrame) -> DataFrame:
     """The mix itself: every row as often as it is taken."""
-    times = (F.col("taken") / F.col("size")).cast("int")
+    times = F.try_divide("taken", "size").cast("int")
     return mixed.where("taken > 0").withColumn("__turn", F.explode(F.sequence(F.lit(1), times))).drop("__turn")

@@ -150,7 +150,7 @@ def sample(docs: DataFrame, labels: DataFrame, column: str, options: Options) ->
     known = labels.where(F.col(column).isNotNull() & (remainder(F.col("doc_id"), options.fold) != options.held_out))
     chosen = known.groupBy("doc_id").agg(F.max(column).cast("int").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(options.sample)
     rows = docs.select("doc_id", "text").join(F.broadcast(kept(chosen, "labels")), "doc_id")
-    return kept(rows.select("text", "label").repartition(options.parts, F.xxhash64("text")), "labelled-texts")
+    return kept(rows.repartition(options.parts, F.xxhash64("doc_id")).select("text", "label"), "labelled-texts")
 
 
 def trained(texts: DataFrame, options: Options) -> Softmax:
