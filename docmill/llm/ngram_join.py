@@ -278,7 +278,7 @@ def open_pairs(rows: DataFrame, percent: int, first_only: bool) -> DataFrame:
     once = F.filter(ways, lambda w: ~(F.col("home") & ~w["left"] & (w["cut"] == w["other"])))
     spread = rows.withColumn("way", F.explode(once)).select("key", "band", "way.*", "name", "n", "bits", "component")
     spread = spread.withColumn("tile", F.xxhash64("key", "band", "cut", "other")).drop("key", "band", "cut", "other")
-    placed = spread.repartition("tile").sortWithinPartitions("tile")
+    placed = spread.repartition("tile").sortWithinPartitions("tile", "name")
     return placed.mapInArrow(paired, "tile long, a long, b long").groupBy("a", "b").agg(F.min("tile").alias("tile"))
 
 
@@ -360,7 +360,8 @@ def join(docs: DataFrame, options: Options = Options()) -> DataFrame:  # noqa: B
     open_keys = kept(keys.join(shared, "key").distinct(), "open-keys")
 
     def links_of(rows: DataFrame, first_only: bool) -> DataFrame:
-        rough = open_pairs(tiles(rows, options.percent), options.percent, first_only)
+        # Stored, as it is read twice and which pair comes first must not change between the reads.
+        rough = kept(open_pairs(tiles(rows, options.percent), options.percent, first_only), "likely-pairs")
         pairs = kept(by_tile(rough, classes.select("name", "n", F.col("fine").alias("value")).dropDuplicates(["name"]), may_match, options.percent, False), "set-pairs")
         wanted = pairs.select(F.col("a").alias("name")).unionByName(pairs.select(F.col("b").alias("name"))).distinct()
         sets = shingles_of(docs, wanted, options).select("name", F.octet_length("shingles").cast("long").alias("bytes"), F.col("shingles").alias("value"))
