@@ -95,34 +95,102 @@ def pretty_json(text: Column) -> Column:
         def index_key(k):
             return k.isascii() and k.isdigit() and (k == "0" or k[0] != "0") and int(k) < 2**32 - 1
 
-        def write(value, pad):
+        def scalar(value):
             if isinstance(value, str):
                 return string(value)
             if value is None:
                 return "null"
             if isinstance(value, bool):
                 return "true" if value else "false"
-            if isinstance(value, float):
-                return number(value)
-            inner = pad + "  "
-            if isinstance(value, list):
-                items, ends = [write(v, inner) for v in value], "[]"
-            else:
-                keys = list(value)
-                first = sorted((k for k in keys if index_key(k)), key=int)
-                keys = first + [k for k in keys if not index_key(k)]
-                items, ends = [f"{string(k)}: {write(value[k], inner)}" for k in keys], "{}"
-            if not items:
-                return ends
-            return ends[0] + "\n" + ",\n".join(inner + i for i in items) + "\n" + pad + ends[1]
+            return number(value)
+
+        def write(value):
+            """Text of a tree of any depth: a stack of what is still to be written."""
+            out, todo = [], [(value, "", "")]
+            while todo:
+                value, pad, before = todo.pop()
+                out.append(before)
+                if value is END:
+                    continue
+                if not isinstance(value, (list, dict)):
+                    out.append(scalar(value))
+                    continue
+                ends = "[]" if isinstance(value, list) else "{}"
+                if not value:
+                    out.append(ends)
+                    continue
+                inner = pad + "  "
+                if isinstance(value, list):
+                    items = [("", v) for v in value]
+                else:
+                    first = sorted((k for k in value if index_key(k)), key=int)
+                    keys = first + [k for k in value if not index_key(k)]
+                    items = [(string(k) + ": ", value[k]) for k in keys]
+                out.append(ends[0] + "\n")
+                todo.append((END, "", "\n" + pad + ends[1]))
+                for i in range(len(items) - 1, -1, -1):
+                    todo.append((items[i][1], inner, ("" if i == 0 else ",\n") + inner + items[i][0]))
+            return "".join(out)
+
+        def parse(text):
+            """The same tree as the parser of the library, which goes no deeper than the interpreter's stack."""
+            at, open_, root = 0, [], []
+            target, state = root, "value"
+
+            def skip(i):
+                return blank.match(text, i).end()
+
+            def put(value):
+                if isinstance(target, list):
+                    target.append(value)
+                else:
+                    target[open_[-1][1]] = value
+
+            while True:
+                at = skip(at)
+                c = text[at : at + 1]
+                if state in ("value", "first") and c and c in "[{":
+                    made = [] if c == "[" else {}
+                    put(made)
+                    open_.append([target, None, c])
+                    target, state, at = made, "first" if c == "[" else "first key", at + 1
+                elif (state == "first" and c == "]") or (state == "first key" and c == "}") or (state == "next" and open_ and c == ("]" if open_[-1][2] == "[" else "}")):
+                    target, state, at = open_.pop()[0], "next", at + 1
+                elif state in ("first key", "key"):
+                    if c != '"':
+                        raise ValueError
+                    key, at = json.decoder.scanstring(text, at + 1, True)
+                    at = skip(at)
+                    if text[at : at + 1] != ":":
+                        raise ValueError
+                    open_[-1][1], state, at = key, "value", at + 1
+                elif state in ("value", "first"):
+                    value, at = leaf.scan_once(text, at) if c else refuse(c)
+                    put(value)
+                    state = "next"
+                elif not open_:
+                    if at != len(text):
+                        raise ValueError
+                    return root[0]
+                elif c == ",":
+                    state, at = "value" if open_[-1][2] == "[" else "key", at + 1
+                else:
+                    raise ValueError
+
+        END = object()
+        leaf = json.JSONDecoder(parse_int=float, parse_float=float, parse_constant=refuse)
+        blank = re.compile("[ \t\n\r]*")
 
         def convert(text):
             if text is None:
                 return None
             try:
-                value = json.loads(text, parse_int=float, parse_float=float, parse_constant=refuse)
-                return write(value, "")
-            except (ValueError, RecursionError):
+                try:
+                    value = json.loads(text, parse_int=float, parse_float=float, parse_constant=refuse)
+                except RecursionError:
+                    value = parse(text)
+                return write(value)
+            except (ValueError, StopIteration):
                 return text
 
         return pandas.Series([convert(t) for t in texts], dtype=object)

@@ -88,7 +88,9 @@ def resolve_manifest(spark, folder):
     group = S.word(key % 7)
     wanted = S.documents(spark, folder).select(
         "doc_id",
-        F.when(key % 4 == 0, F.concat(F.lit("/corpus//./d"), group, F.lit("/"), key, F.lit(".html")))
+        F.when(key % 12 == 0, F.concat(F.lit(" file:///corp%75s/d"), group, F.lit("/"), key, F.lit(".html ")))
+        .when(key % 12 == 4, F.concat(F.lit("/corpus/x/y/../../d"), group, F.lit("/"), key, F.lit(".html")))
+        .when(key % 4 == 0, F.concat(F.lit("/corpus//./d"), group, F.lit("/"), key, F.lit(".html")))
         .when(key % 4 == 1, F.concat(F.lit("/corpus/d"), group, F.lit("/"), key, F.lit(".html")))
         .when(key % 4 == 2, F.concat(F.lit("/corpus/d"), S.word(key % 9), F.lit("/")))
         .otherwise(F.concat(F.lit("/elsewhere/"), key))
@@ -151,11 +153,12 @@ def scan_delimited(spark, folder):
         F.lit(', ""'),
         F.col("c_mktsegment"),
         F.lit('"""'),
-        F.when(key % 7 == 0, F.lit("")).otherwise(F.concat(F.lit(",,x"), S.word(F.col("c_nationkey")))),
+        F.when(key % 7 == 0, F.lit("")).when(key % 7 == 1, F.lit(",,")).when(key % 7 == 2, F.lit(',"z"w,'))
+        .otherwise(F.concat(F.lit(",,x"), S.word(F.col("c_nationkey")))),
     )
     path = shared_folder(spark, "delimited")
     S.table(spark, folder, "customer").select(line.alias("line")).write.text(path)
-    found = delimited.scan_delimited(spark, path, n_cols=8, multiline=False)
+    found = delimited.scan_delimited(spark, path, multiline=False)
     return found.select(
         F.get("cells", F.lit(0)).cast("bigint").alias("c_custkey"),
         F.size("cells").cast("bigint").alias("n_cells"),
@@ -581,7 +584,7 @@ def convert_documents_query(spark, folder):
         .unionByName(rows(events, "json", "event_id", name("e/", "event_id", ".JSON"), F.col("props")))
         .unionByName(rows(packed, "docx", "doc_id", name("w/", "doc_id", ".docx"), F.col("content")))
     )
-    return convert_documents(every).select("doc_id", "kind", "format", "status", "chars", "truncated", "markdown")
+    return convert_documents(every, truncate=False).select("doc_id", "kind", "format", "status", "chars", "truncated", "markdown")
 
 
 

@@ -152,11 +152,13 @@ FROM pages"""
 
 ORACLES["resolve_manifest"] = """
 WITH wanted AS (
-  SELECT doc_id, CASE doc_id % 4
+  SELECT doc_id, CASE WHEN doc_id % 12 = 0 THEN ' file:///corp%75s/d' || doc_id % 7 || '/' || doc_id || '.html '
+    WHEN doc_id % 12 = 4 THEN '/corpus/x/y/../../d' || doc_id % 7 || '/' || doc_id || '.html'
+    ELSE CASE doc_id % 4
     WHEN 0 THEN '/corpus//./d' || doc_id % 7 || '/' || doc_id || '.html'
     WHEN 1 THEN '/corpus/d' || doc_id % 7 || '/' || doc_id || '.html'
     WHEN 2 THEN '/corpus/d' || doc_id % 9 || '/'
-    ELSE '/elsewhere/' || doc_id END AS input
+    ELSE '/elsewhere/' || doc_id END END AS input
   FROM documents)
 SELECT doc_id, input,
   CASE WHEN doc_id % 4 < 2 THEN CAST(octet_length(encode(html)) AS BIGINT) END AS length,
@@ -208,7 +210,7 @@ FROM l"""
 ORACLES["scan_delimited"] = """
 SELECT c_custkey, CAST(CASE WHEN c_custkey % 7 = 0 THEN 2 ELSE 4 END AS BIGINT) AS n_cells,
   c_custkey || '¦' || c_name || ', "' || c_mktsegment || '"' ||
-  CASE WHEN c_custkey % 7 = 0 THEN '' ELSE '¦¦x' || c_nationkey END AS cells
+  CASE c_custkey % 7 WHEN 0 THEN '' WHEN 1 THEN '¦¦' WHEN 2 THEN '¦zw¦' ELSE '¦¦x' || c_nationkey END AS cells
 FROM customer"""
 
 ORACLES["explode_archive"] = """
@@ -457,8 +459,7 @@ WITH {PAGE_MARKDOWN},
     UNION ALL SELECT 'web' || page_id, 'url', 'html', 'ok', markdown FROM page_md
     UNION ALL SELECT 'docx' || doc_id, 'file', 'docx', 'ok', {WORD_TEXT} FROM documents
     UNION ALL SELECT 'json' || event_id, 'file', 'json', 'ok', markdown FROM ({ORACLES['json_to_markdown']}))
-SELECT doc_id, kind, format, status, CAST(length(markdown) AS BIGINT) AS chars, coalesce(length(markdown) > 120000, false) AS truncated,
-  substr(markdown, 1, 120000) AS markdown
+SELECT doc_id, kind, format, status, CAST(length(markdown) AS BIGINT) AS chars, false AS truncated, markdown
 FROM r"""
 
 CANDIDATES = f"""

@@ -11,8 +11,8 @@ from docmill.operators.results import output_hint
 def write_markdown(results: DataFrame, path: str, layout: str = "parquet") -> DataFrame:
     """Write result rows, return them with ``output_path`` set and ``markdown`` empty.
 
-    ``parquet`` stores all columns, one folder per format. ``text`` stores one folder
-    per document and is for small exports. Convert with ``truncate=False`` first: what is
+    ``parquet`` stores all columns, one folder per format; a file holds many documents.
+    ``text`` stores one folder with one file per document and is for small exports. Convert with ``truncate=False`` first: what is
     written is not cut. The returned rows are read back, so nothing is converted twice.
     """
     spark = results.sparkSession
@@ -26,7 +26,11 @@ def write_markdown(results: DataFrame, path: str, layout: str = "parquet") -> Da
         kept = spark.read.parquet(facts)
         texts = kept.where(F.col("markdown").isNotNull()).select("doc_id", "markdown")
         texts.write.mode("overwrite").partitionBy("doc_id").text(f"{path.rstrip('/')}/markdown")
-        location = F.concat(F.lit(f"{path.rstrip('/')}/markdown/doc_id="), "doc_id")
+        # Folder names escape some characters, so the paths are those of the files written.
+        files = spark.read.schema("value string, doc_id string").text(f"{path.rstrip('/')}/markdown")
+        places = files.groupBy("doc_id").agg(F.min("_metadata.file_path").alias("_location"))
+        kept = kept.join(places, "doc_id", "left")
+        location = F.col("_location")
     else:
         raise ValueError(f'unknown layout "{layout}"; expected parquet or text')
     written = kept.withColumn("output_path", F.when(F.col("status") == "ok", location))

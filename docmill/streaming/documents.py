@@ -26,8 +26,9 @@ def stream_documents(
 ) -> StreamingQuery:
     """Convert files that landed since the last run, each once, and append the results.
 
-    A micro-batch writes its own ``batch_id`` folder in overwrite mode, so a batch that
-    is run again after a failure replaces its first attempt.
+    A micro-batch writes its own ``batch_id`` folder in overwrite mode, below a folder for the
+    id that the checkpoint holds. So a batch that is run again after a failure replaces its
+    first attempt, and a new checkpoint leaves earlier output alone.
     """
     # Batches follow one another, so each may replace the unpacked parts of the one before.
     parts_path = shared_folder(spark, "stream-parts")
@@ -45,7 +46,8 @@ def stream_documents(
             F.col("path").alias("doc_id"), F.col("path").alias("input"), "content", "status", "error"
         )
         results = convert_documents(documents, options, containers=containers, parts_path=parts_path)
-        results.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch_id={batch_id}")
+        query = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").select(F.get_json_object("value", "$.id")).first()[0]
+        results.write.mode("overwrite").parquet(f"{out.rstrip('/')}/query_id={query}/batch_id={batch_id}")
 
     return (
         within_size(reader.load(path), options.max_bytes)
