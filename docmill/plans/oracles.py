@@ -437,7 +437,7 @@ ORACLES["epub_spine"] = """
 SELECT CAST(page_id // 10 AS BIGINT) AS doc_id,
   CAST(1 + row_number() OVER (PARTITION BY page_id // 10 ORDER BY page_id DESC) AS BIGINT) AS pos, 'OEBPS/ch ' || page_id || '.xhtml' AS part
 FROM pages
-UNION ALL SELECT DISTINCT CAST(page_id // 10 AS BIGINT), CAST(0 AS BIGINT), 'OEBPS/chapter%.xhtml' FROM pages"""
+UNION ALL SELECT DISTINCT CAST(page_id // 10 AS BIGINT), CAST(0 AS BIGINT), 'OEBPS/absent%.xhtml' FROM pages"""
 ORACLES["epub_to_markdown"] = f"""
 WITH {PAGE_MARKDOWN}
 SELECT CAST(page_id // 10 AS BIGINT) AS doc_id, 'ok' AS status,

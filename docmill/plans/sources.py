@@ -270,7 +270,7 @@ def book_parts(pages: DataFrame) -> DataFrame:
         .agg(F.sort_array(F.collect_list(F.struct("page_id", "item", "ref")), asc=False).alias("found"))
     )
     opf = F.concat(
-        F.lit('<package><manifest><item id="bad" href="chapter%.xhtml"/><item id="lost"/>'),
+        F.lit('<package><manifest><item id="bad" href="absent%.xhtml"/><item id="lost"/>'),
         joined(F.col("found.item")),
         F.lit('</manifest><spine><itemref idref="bad"/><itemref idref="lost"/>'),
         joined(F.col("found.ref")),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docmill.functions.strings import percent_decode
 from docmill.operators.results import output_hint
 
 
@@ -33,7 +34,9 @@ def write_markdown(results: DataFrame, path: str, layout: str = "parquet") -> Da
         location = F.col("_location")
     else:
         raise ValueError(f'unknown layout "{layout}"; expected parquet or text')
-    written = kept.withColumn("output_path", F.when(F.col("status") == "ok", location))
+    # What Spark reports is a URI; a path that can be opened has its escapes undone.
+    plain = F.coalesce(percent_decode(location), location)
+    written = kept.withColumn("output_path", F.when(F.col("status") == "ok", plain))
     notes = F.nullif(F.concat_ws("\n", "notes", output_hint(F.col("output_path"))), F.lit(""))
     return written.withColumn("notes", notes).select(
         *[
