@@ -43,6 +43,38 @@ def _each_element(text: Column, name: str, rewrite) -> Column:
     return up_to_last(text, f"</{name}>", lambda t: replace_each(t, _element(name), rewrite))
 
 
+# Elements that are searched for with a closing tag and whose opening tag means nothing without one.
+_PAIRED = (*DROPPED.split("|"), "td", "th", "strong", "b", "em", "i", "a", "code", "li")
+_MANY_TAGS = 1000
+# A character that no text may hold; behind ``<`` it keeps a tag from being taken for a known one.
+_UNPAIRED = "<" + chr(0xFDD0)
+
+
+def settle_unclosed(text: Column) -> Column:
+    """Disarm opening tags after the last closing tag of their name, which no pass can pair.
+
+    Each of them would else be searched for its end up to the end of the text. They stay tags
+    and vanish with the others, so results are the same; texts of few tags are left alone.
+    """
+
+    def one(t: Column, name: Column) -> Column:
+        last = F.concat(F.lit(r"(?is)\A.*</"), name, F.lit(">"))
+        opening = F.concat(F.lit("(?i)<(?="), name, F.lit(f"{WORD_END})"))
+        return let(
+            F.coalesce(F.regexp_substr(t, last), F.lit("")),
+            lambda head: F.concat(head, F.regexp_replace(F.substr(t, F.length(head) + 1), opening, F.lit(_UNPAIRED))),
+        )
+
+    tags = F.length(text) - F.length(F.replace(text, F.lit("<"), F.lit("")))
+    names = F.expr("array(" + ", ".join(f"'{n}'" for n in _PAIRED) + ")")
+    return F.when(tags > _MANY_TAGS, F.aggregate(names, text, one)).otherwise(text)
+
+
+def _closed(body: Column, closing: str) -> Column:
+    """The part in which elements with this closing tag can be."""
+    return F.coalesce(F.regexp_substr(body, F.lit(rf"(?is)\A.*{closing}")), F.lit(""))
+
+
 def html_drop_blocks(text: Column) -> Column:
     """Pass 1: comments, then elements whose content is not text."""
     t = up_to_last(text, "-->", lambda h: F.regexp_replace(h, "(?s)<!--.*?-->", ""))
@@ -61,9 +93,9 @@ def html_tables(text: Column) -> Column:
     def rewrite(body: Column) -> Column:
         rows = F.filter(
             F.transform(
-                F.regexp_extract_all(body, F.lit(_element("tr")), F.lit(1)),
+                F.regexp_extract_all(_closed(body, "</tr>"), F.lit(_element("tr")), F.lit(1)),
                 lambda tr: F.transform(
-                    F.regexp_extract_all(tr, F.lit(_either("td|th")), F.lit(2)), inline_text
+                    F.regexp_extract_all(_closed(tr, "</t[dh]>"), F.lit(_either("td|th")), F.lit(2)), inline_text
                 ),
             ),
             lambda cells: F.size(cells) > 0,
@@ -176,7 +208,7 @@ def html_emphasis(text: Column, names: str, mark: str) -> Column:
 
 def html_code(text: Column) -> Column:
     """Pass 9d: inline code, then every remaining tag goes."""
-    return strip_tags(up_to_last(text, "</code>", _code))
+    return up_to_last(up_to_last(text, "</code>", _code), ">", strip_tags)
 
 
 INLINE_PASSES = (
@@ -196,6 +228,7 @@ def inline_text(text: Column) -> Column:
 
 
 HTML_PASSES = (
+    settle_unclosed,
     html_drop_blocks,
     html_breaks,
     html_tables,

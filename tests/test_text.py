@@ -154,6 +154,21 @@ def test_long_unclosed_markup_is_linear(spark):
     assert run(spark, [source], html.html_markdown) == [""]
 
 
+@pytest.mark.parametrize(
+    "source",
+    ["<svg>" * 100_000 + "</style>", "<td>" * 100_000 + "</th>", "<table>" + "<tr><td>" * 50_000 + "</table>", "<b>" * 100_000 + "</strong>", "<li><b>" * 50_000 + "</i>", "<em>" * 100_000 + "</i>", "<a href='x'>" * 50_000],
+)
+def test_unclosed_tags_of_other_names_are_linear(spark, source):
+    assert run(spark, [source], html.html_markdown) == [""]
+
+
+def test_unclosed_tags_give_the_same_as_few(spark):
+    parts = ["<b>x</b> <strong>y", "<svg>q</svg>r<svg>s", "<td>t<tr>u", "<li>v</li><li>w", "<a href='k'>z</a><a href='k'>l"]
+    filler = "<i></i>" * 600
+    few, many = run(spark, ["".join(parts), filler + "".join(parts)], html.html_markdown)
+    assert many.replace("*", "") == few.replace("*", "") and "**x**" in many and "**x**" in few
+
+
 def test_filters_over_converted_columns_stay_small(spark):
     """Moving a filter below the passes must not multiply them."""
     df = spark.createDataFrame([(1, "<h1>x</h1>"), (2, "")], "id int, html string")
