@@ -8,8 +8,8 @@ a key meet in tiles by size band (a set is compared within its band and with the
 Within a tile, bitmap signatures of the parity of hashed shingles bound the overlap from above,
 first short ones, then ones as long as the sets need, before sorted arrays are intersected.
 
-Links are found in two turns. First, in tiles of a class's first keys, each class is compared with
-the first likely one before it. Components of these links are then known, and only keys that still
+Links are found in two turns. First, in tiles of a class's first shared keys, each class is compared with
+the first likely one before it and with the likeliest one. Components of these links are then known, and only keys that still
 hold several components are looked at, for pairs across components; each such pair is compared.
 So large groups of near copies cost about one comparison a member, and no link between different
 components is lost. Large tiles are cut by a hash, and all cuts are compared with each other.
@@ -49,7 +49,7 @@ class Options:
     words: int = 4
     #: Similar: 100 * intersection >= percent * union.
     percent: int = 85
-    first_keys: int = 3
+    first_keys: int = 4
 
 
 def sets_of(hasher: Hasher, data: np.ndarray, offsets: np.ndarray, words: int) -> list[np.ndarray]:
@@ -224,11 +224,10 @@ def runs(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterato
             yield batch.slice(a, b - a)
 
 
-def likely(n: int | np.ndarray, bits: np.ndarray, sizes: np.ndarray, signatures: np.ndarray, percent: int) -> np.ndarray:
-    """Which sets may be similar to one of n shingles: by size, and by the bound of the bitmaps on the overlap."""
+def most_shared(n: int | np.ndarray, bits: np.ndarray, sizes: np.ndarray, signatures: np.ndarray) -> np.ndarray:
+    """Bounds from above on the overlaps of sets of n and of ``sizes`` shingles, by sizes and bitmaps."""
     most = (n + sizes - np.bitwise_count(signatures ^ bits).sum(1, dtype=np.int64)) // 2
-    most = np.minimum(most, np.minimum(n, sizes))
-    return 100 * most >= percent * (n + sizes - most)
+    return np.minimum(most, np.minimum(n, sizes))
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -238,10 +237,11 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int(member(a, b).sum())
 
 
-def open_pairs(rows: DataFrame, percent: int, first_only: bool) -> DataFrame:
+def open_pairs(rows: DataFrame, percent: int, few: bool) -> DataFrame:
     """Pairs across components, within tiles, that sizes and bitmaps allow. Every row meets all cuts of its tile.
 
-    With ``first_only`` a row is paired with the first one before it only.
+    With ``few`` a row is paired with two others only: the first one before it, and the one with the
+    highest bound on their similarity. That connects most of a group by a few pairs a member.
     """
 
     def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,6 +251,7 @@ def open_pairs(rows: DataFrame, percent: int, first_only: bool) -> DataFrame:
             signatures = np.frombuffer(b"".join(block.column("bits").to_pylist()), np.uint64).reshape(len(names), -1)
             tile = block.column("tile").to_numpy()
             found, at, claimed = [], np.arange(len(names) - 1), np.zeros(len(names), bool)
+            score, partner = np.zeros(len(names)), np.full(len(names), -1)
             for step in range(1, len(names)):
                 at = at[at < len(names) - step]
                 at = at[tile[at] == tile[at + step]]
@@ -261,11 +262,20 @@ def open_pairs(rows: DataFrame, percent: int, first_only: bool) -> DataFrame:
                 i, j = at[met], to[met]
                 fits = 100 * np.minimum(sizes[i], sizes[j]) >= percent * np.maximum(sizes[i], sizes[j])
                 i, j = i[fits], j[fits]
-                good = likely(sizes[i], signatures[i], sizes[j], signatures[j], percent)
-                i, j = i[good], j[good]
+                most = most_shared(sizes[i], signatures[i], sizes[j], signatures[j])
+                good = 100 * most >= percent * (sizes[i] + sizes[j] - most)
+                i, j, most = i[good], j[good], most[good]
+                if few:
+                    rate = most / (sizes[i] + sizes[j])
+                    for one, other in ((i, j), (j, i)):
+                        better = rate > score[one]
+                        score[one[better]], partner[one[better]] = rate[better], other[better]
+                    new = claim(claimed, j)
+                    i, j = i[new], j[new]
                 found.append(np.stack([tile[i], np.minimum(names[i], names[j]), np.maximum(names[i], names[j])]))
-                if first_only:
-                    found[-1] = found[-1][:, claim(claimed, j)]
+            one = np.flatnonzero(partner >= 0)
+            other = partner[one]
+            found.append(np.stack([tile[one], np.minimum(names[one], names[other]), np.maximum(names[one], names[other])]))
             if found and (pairs := np.unique(np.concatenate(found, axis=1), axis=1)).size:
                 yield pa.record_batch([pa.array(x) for x in pairs], ["tile", "a", "b"])
 
@@ -359,18 +369,20 @@ def join(docs: DataFrame, options: Options = Options()) -> DataFrame:  # noqa: B
     shared = kept(keys.groupBy("key").agg(F.min("name").alias("low"), F.max("name").alias("high"), F.count("*").alias("m")).where("low <> high").select("key", "m"), "shared-keys")
     open_keys = kept(keys.join(shared, "key").distinct(), "open-keys")
 
-    def links_of(rows: DataFrame, first_only: bool) -> DataFrame:
+    def links_of(rows: DataFrame, few: bool) -> DataFrame:
         # Stored, as it is read twice and which pair comes first must not change between the reads.
-        rough = kept(open_pairs(tiles(rows, options.percent), options.percent, first_only), "likely-pairs")
+        rough = kept(open_pairs(tiles(rows, options.percent), options.percent, few), "likely-pairs")
         pairs = kept(by_tile(rough, classes.select("name", "n", F.col("fine").alias("value")).dropDuplicates(["name"]), may_match, options.percent, False), "set-pairs")
         wanted = pairs.select(F.col("a").alias("name")).unionByName(pairs.select(F.col("b").alias("name"))).distinct()
         sets = shingles_of(docs, wanted, options).select("name", F.octet_length("shingles").cast("long").alias("bytes"), F.col("shingles").alias("value"))
         sets = sets.withColumn("n", F.expr("bytes div 8")).drop("bytes")
         return kept(by_tile(pairs, sets, match, options.percent, True).select("a", "b"), "set-links")
 
-    facts = classes.select("name", "n", "bits", F.slice("keys", 1, options.first_keys).alias("first")).dropDuplicates(["name"])
-    start = facts.select("name", "n", "bits", F.explode("first").alias("key")).join(shared, "key").withColumn("component", F.col("name"))
-    links = links_of(start, True)
+    facts = classes.select("name", "n", "bits").dropDuplicates(["name"])
+    # A class has no more keys than its text has shingles, so they may meet in one row.
+    first = F.slice(F.sort_array(F.collect_list(F.struct("key", "m"))), 1, options.first_keys)
+    start = open_keys.groupBy("name").agg(first.alias("first")).select("name", F.inline("first")).join(facts, "name")
+    links = links_of(start.withColumn("component", F.col("name")), True)
     parts = components(links, "first-parts")
 
     part: Column = F.coalesce("component", "name")
