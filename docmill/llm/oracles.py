@@ -88,4 +88,39 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM firsts
 """
 
-ORACLES = {"op2_quality_rules": QUALITY, "op4_mixing": MIXING, "op7_warc": WARC}
+VECTORS = """
+WITH RECURSIVE flat AS (
+  SELECT vec_id, label, embedding, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+), good AS (
+  SELECT vec_id, label, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS size FROM flat
+  WHERE label IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.v, b.v) / (a.size * b.size) >= 0.98
+), reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links,
+  least(vec_id, coalesce((SELECT min(b) FROM reach WHERE a = vec_id), vec_id)) AS component_id,
+  vec_id = least(vec_id, coalesce((SELECT min(b) FROM reach WHERE a = vec_id), vec_id)) AS kept
+FROM embeddings
+"""
+
+JOIN = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, g FROM (
+    SELECT doc_id, list_slice(w, i, i + 3) AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM words WHERE len(w) > 0)
+  )
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared s JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * s.n >= 85 * (x.n + y.n - s.n)
+), reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(first, doc_id)) AS component_id
+FROM words LEFT JOIN sizes USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS first FROM reach GROUP BY a) USING (doc_id)
+"""
+
+ORACLES = {"op2_quality_rules": QUALITY, "op4_mixing": MIXING, "op5_embedding_dedup": VECTORS, "op7_warc": WARC, "op8_ngram_join": JOIN}
