@@ -3,14 +3,18 @@
 Every text is a sequence of lower-cased (A-Z) words and one end. Frequent words are symbols of
 their own; all others share symbols by their last two bytes. The neural part predicts a symbol
 from the two before it: context vectors are mapped by one matrix per position, added, and
-multiplied with target vectors. Word counts over all training texts give the probability of a
-word within its rare symbol, with the share of words seen once set aside for unknown words, so
-the probabilities of all words and the end sum to one after every context.
+multiplied with target vectors. Within a rare symbol every training word, however many there are,
+is a leaf of a binary tree. Each node has a vector and a bias, which starts at the word counts of
+its two sides, and is trained on the same contexts; its logistic unit chooses a side. The share of
+words seen once is set aside for unknown words, so the probabilities of all words and the end sum
+to one after every context. As a context a rare word is still known by its symbol only.
 
 Training runs over all training tokens: each task makes stochastic gradient steps over its
 rows, and parameters are averaged over tasks after each round, weighted by tokens. A symbol has
 so few contexts that the normaliser of every one is computed up front, in batched matrix
-products; scoring a token is then three table look-ups.
+products; scoring a token is then three table look-ups. The trees grow with the corpus and are
+never in one place: the tokens of a rare symbol meet the words of its tree in one task, or in
+several by row if they are many, whose trees are then averaged by node.
 
 Defined cases: null texts are empty and score the end alone; repeated rows are scored each; an
 empty table gives no rows; without training texts every word is unknown. Columns other than
@@ -28,6 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docmill.llm.ngram_join import runs
 from docmill.llm.shared import kept, received, remainder, send
 from docmill.llm.textops import MIX_A, Hasher, bytes_of, counts_of, lists, mixed, slices
 
@@ -41,6 +46,8 @@ BROADCAST_WORDS = 1 << 18
 #: Distinct words that a task counts before it hands them on.
 COUNTED = 1 << 20
 CHUNK = 4096
+#: Tokens of a rare symbol that one task trains on; with more of them its tree is trained in several.
+PART_TOKENS = 1 << 22
 NOTHING = 1e-30
 
 
@@ -51,6 +58,9 @@ class Options:
     batch: int = 1024
     rates: tuple[float, ...] = (0.15, 0.08, 0.04)
     held_out_of: int = 10
+    tree_rate: float = 0.1
+    tree_batch: int = 4096
+    tree_rounds: int = 1
 
 
 def keys_of(hasher: Hasher, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -182,13 +192,14 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     return Vocabulary(sum(r.n for r in levels), sum(r.types for r in levels), keys[order], n[order], symbol_counts, tokens, once, limit)
 
 
-ENCODED = "row long, doc_id string, held_out boolean, n_tokens long, n_known long, base double, rare double, symbols binary, words array<long>, times array<long>"
+ENCODED = "row long, doc_id string, held_out boolean, n_tokens long, n_known long, base double, rare double, symbols binary, picks binary, words array<long>, times array<long>"
 
 
 def encode(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
     """Symbols of every text, what frequent words add to the scores, and the other words by key.
 
-    ``row`` numbers the rows; it is fixed once the table is written.
+    ``row`` numbers the rows; it is fixed once the table is written. ``picks`` names the word of each
+    rare symbol of a text: its place among the frequent words, or -1 - its place in ``words``.
     """
     known = send(docs.sparkSession, vocab)
 
@@ -218,6 +229,12 @@ def encode(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
             first = np.flatnonzero(new)
             times = np.diff(np.append(first, len(others)))
             each = np.bincount(owner[first], minlength=len(per_doc))
+            picks = at.astype(np.int32)
+            place = np.cumsum(new) - 1
+            picks[np.flatnonzero(~seen)[order]] = -1 - (place - (np.cumsum(each) - each)[owner])
+            rarely = symbols >= WORDS
+            picks = picks[rarely]
+            edge = np.concatenate([[0], np.cumsum(rarely)])[cut]
             yield pa.record_batch(
                 [
                     pa.array(number + np.arange(len(per_doc))),
@@ -228,10 +245,11 @@ def encode(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
                     pa.array(total(base[at[seen]]) + end_base),
                     pa.array(total(rare[at[seen]])),
                     pa.array([symbols[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)], pa.binary()),
+                    pa.array([picks[a:b].tobytes() for a, b in zip(edge, edge[1:], strict=False)], pa.binary()),
                     lists(others[first].view(np.int64), each, pa.int64()),
                     lists(times.astype(np.int64), each, pa.int64()),
                 ],
-                ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "rare", "symbols", "words", "times"],
+                ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "rare", "symbols", "picks", "words", "times"],
             )
             number += len(per_doc)
 
@@ -388,6 +406,204 @@ def normalisers(spark, model: Model) -> np.ndarray:
     return np.stack([np.frombuffer(r.row, np.float32) for r in sorted(rows)])
 
 
+class Tree:
+    """The words of one rare symbol below a binary tree of logistic units; leaves are in order of keys."""
+
+    def __init__(self, counts: np.ndarray, size: int):
+        self.depth = max(len(counts) - 1, 0).bit_length()
+        width = 1 << self.depth
+        sums = np.zeros(2 * width)
+        sums[width : width + len(counts)] = counts
+        for level in range(self.depth - 1, -1, -1):
+            sums[1 << level : 2 << level] = sums[2 << level : 4 << level].reshape(-1, 2).sum(1)
+        left, right = sums[0::2][:width], sums[1::2][:width]
+        self.live = (left > 0) & (right > 0)
+        self.live[0] = False
+        self.bias = np.where(self.live, np.log(np.maximum(left, NOTHING)) - np.log(np.maximum(right, NOTHING)), 0.0).astype(np.float32)
+        self.start = np.log(np.maximum(counts, NOTHING) / max(counts.sum(), 1))
+        self.vectors = np.zeros((width, size), np.float32)
+        self.seen = np.ones((width, size + 1), np.float32)
+        self.visits = np.zeros(width)
+
+    def at(self, level: int, hidden: np.ndarray, leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The nodes of a level above the leaves, whether the right side is taken, and the score of the left one."""
+        node = (1 << level) + (leaves >> (self.depth - level))
+        right = (leaves >> (self.depth - level - 1) & 1).astype(bool)
+        return node, right, np.einsum("ij,ij->i", hidden, self.vectors[node]) + self.bias[node]
+
+    def gain(self, hidden: np.ndarray, leaves: np.ndarray) -> np.ndarray:
+        """What the contexts add to the log of the words' shares of the symbol."""
+        total = np.zeros(len(leaves))
+        for level in range(self.depth):
+            node, right, score = self.at(level, hidden, leaves)
+            total -= np.where(self.live[node], np.logaddexp(0, np.where(right, score, -score)), 0)
+        return total - self.start[leaves]
+
+    def step(self, hidden: np.ndarray, leaves: np.ndarray, rate: float) -> None:
+        """One Adagrad step of all nodes above the leaves, which are sorted, on the logistic loss."""
+        for level in range(self.depth):
+            node, right, score = self.at(level, hidden, leaves)
+            up = np.where(self.live[node], ~right - 1 / (1 + np.exp(-np.clip(score, -30, 30))), 0).astype(np.float32)
+            first = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
+            times = np.diff(np.append(first, len(node)))
+            g = np.add.reduceat(np.concatenate([hidden * up[:, None], up[:, None]], axis=1), first, axis=0)
+            g /= np.sqrt(times, dtype=np.float32)[:, None]
+            node = node[first]
+            self.seen[node] += g * g
+            g *= np.float32(rate) / np.sqrt(self.seen[node])
+            self.vectors[node] += g[:, :-1]
+            self.bias[node] += g[:, -1]
+            self.visits[node] += times
+
+    def flat(self) -> np.ndarray:
+        """Visits of every node, and its bias and vector times these."""
+        return np.concatenate([self.visits[:, None], self.visits[:, None] * self.bias[:, None], self.visits[:, None] * self.vectors], axis=1)
+
+    def fill(self, first: int, sums: np.ndarray) -> None:
+        """Means of the nodes from ``first``, from sums of ``flat``; nodes without visits stay."""
+        sums = sums.reshape(-1, self.vectors.shape[1] + 2)
+        node = first + np.flatnonzero(sums[:, 0])
+        means = sums[node - first, 1:] / sums[node - first, :1]
+        self.bias[node], self.vectors[node] = means[:, 0], means[:, 1:]
+
+
+def packed(*arrays: np.ndarray) -> bytes:
+    return pa.compress(b"".join(x.tobytes() for x in arrays), codec="zstd", asbytes=True)
+
+
+def tree_gains(encoded: DataFrame, counts: DataFrame, vocab: Vocabulary, model: Model, options: Options) -> DataFrame:
+    """``(row, gain)``: log10 of what contexts add to the probabilities of a text's known rare words."""
+    spark = encoded.sparkSession
+    parts = np.maximum(1, -(-vocab.bucket_tokens.astype(np.int64) // PART_TOKENS))
+    firsts = np.cumsum(parts) - parts
+    sent = send(spark, (vocab.keys, model.context @ model.near, model.context @ model.far))
+    token = np.dtype([("key", np.uint64), ("row", np.int64), ("far", np.int16), ("near", np.int16), ("held_out", bool)])
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = received(sent)[0]
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            far, near, word, n = contexts(batch.column("symbols").to_pylist())
+            rare = (word >= WORDS) & (word < END)
+            owner = np.repeat(np.arange(len(n)), n)[rare]
+            picks = np.frombuffer(b"".join(batch.column("picks").to_pylist()), np.int32)
+            words = batch.column("words")
+            others = words.flatten().to_numpy().view(np.uint64)
+            base = np.concatenate([[0], np.cumsum(words.value_lengths().to_numpy())])
+            key = np.empty(len(picks), np.uint64)
+            top = picks >= 0
+            key[top] = keys[picks[top]]
+            key[~top] = others[base[owner[~top]] - 1 - picks[~top]]
+            row = batch.column("row").to_numpy()[owner]
+            bucket = word[rare] - WORDS
+            place = firsts[bucket] + row % parts[bucket]
+            order = np.lexsort((row, key, place))
+            key, row, far, near, place = key[order], row[order], far[rare][order].astype(np.int16), near[rare][order].astype(np.int16), place[order]
+            held = batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)[owner][order]
+            edges = np.flatnonzero(np.append(np.ones(min(len(place), 1), bool), place[1:] != place[:-1])).tolist()
+            ends = [*edges[1:], len(place)]
+            if edges:
+                yield pa.record_batch(
+                    [
+                        pa.array(place[edges], pa.int64()),
+                        pa.array(np.subtract(ends, edges), pa.int64()),
+                        pa.array([packed(key[a:b], row[a:b], far[a:b], near[a:b], held[a:b]) for a, b in zip(edges, ends, strict=True)], pa.binary()),
+                    ],
+                    ["place", "n", "data"],
+                )
+
+    def unpacked(n: int, data: bytes) -> np.ndarray:
+        whole, out, at = pa.decompress(data, n * token.itemsize, codec="zstd"), np.empty(n, token), 0
+        for name in token.names:
+            out[name] = np.frombuffer(whole, token[name], n, at)
+            at += n * token[name].itemsize
+        return out
+
+    def grown(ready: bool):
+        """Trees of the places at hand: trained, and used or handed on to be averaged; ``ready`` ones are used."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            top, near_part, far_part = received(sent)
+            top = np.sort(top[:WORDS])
+            for group in runs(batches, ("place",)):
+                turn, n, word = (group.column(c).to_numpy() for c in ("turn", "n", "word"))
+                place, data = int(group.column("place")[0].as_py()), group.column("data")
+                bucket = int(np.searchsorted(firsts, place, side="right")) - 1
+                words, times = word[turn == 0].view(np.uint64), n[turn == 0]
+                own = ~np.isin(words, top)
+                words, times = words[own], times[own]
+                order = np.argsort(words)
+                words, times = words[order], times[order]
+                blocks = [unpacked(int(n[i]), data[i].as_py()) for i in np.flatnonzero(turn == 2).tolist()]
+                if not blocks or not len(words):
+                    continue
+                tokens = np.concatenate(blocks)
+                leaves = np.minimum(np.searchsorted(words, tokens["key"]), len(words) - 1)
+                known = words[leaves] == tokens["key"]
+                tokens, leaves = tokens[known], leaves[known]
+                tree = Tree(times.astype(np.float64), near_part.shape[1])
+                hidden = lambda at, tokens=tokens: near_part[tokens["near"][at]] + far_part[tokens["far"][at]]
+                if ready:
+                    for i in np.flatnonzero(turn == 1).tolist():
+                        tree.fill(int(word[i]), np.frombuffer(data[i].as_py()))
+                else:
+                    random = np.random.default_rng(place)
+                    training = np.flatnonzero(~tokens["held_out"])
+                    for _ in range(options.tree_rounds):
+                        training = random.permutation(training)
+                        for i in range(0, len(training), options.tree_batch):
+                            at = training[i : i + options.tree_batch]
+                            at = at[np.argsort(leaves[at])]
+                            tree.step(hidden(at), leaves[at], options.tree_rate)
+                if ready or parts[bucket] == 1:
+                    texts, owner = np.unique(tokens["row"], return_inverse=True)
+                    gain = np.zeros(len(tokens))
+                    for i in range(0, len(tokens), 1 << 16):
+                        at = slice(i, i + (1 << 16))
+                        gain[at] = tree.gain(hidden(at), leaves[at])
+                    gain = np.bincount(owner, gain, len(texts)) / np.log(10)
+                    none = pa.nulls(len(texts), pa.int64())
+                    yield pa.record_batch([pa.array(texts), pa.array(gain), none, none, pa.nulls(len(texts), pa.binary())], ["row", "gain", "bucket", "word", "data"])
+                else:
+                    flat = tree.flat()
+                    for i in range(0, len(flat), CHUNK):
+                        if flat[i : i + CHUNK, 0].any():
+                            yield pa.record_batch([pa.nulls(1, pa.int64()), pa.nulls(1, pa.float64()), pa.array([bucket]), pa.array([i]), pa.array([flat[i : i + CHUNK].tobytes()], pa.binary())], ["row", "gain", "bucket", "word", "data"])
+
+        return run
+
+    def added(frame):
+        import pandas
+
+        return pandas.DataFrame({"bucket": frame["bucket"][:1], "word": frame["word"][:1], "data": [np.sum([np.frombuffer(x) for x in frame["data"]], axis=0).tobytes()]})
+
+    def spread(rows: DataFrame) -> DataFrame:
+        """Rows of a bucket to all of its places."""
+        first, many = (F.element_at(F.lit([int(x) for x in v]).cast("array<long>"), (F.col("bucket") + 1).cast("int")) for v in (firsts, parts))
+        return rows.withColumn("place", F.explode(F.sequence(first, first + many - 1)))
+
+    def placed(*rows: DataFrame) -> DataFrame:
+        columns = ("place", "turn", "word", "n", "data")
+        all_rows = rows[0].select(*columns)
+        for more in rows[1:]:
+            all_rows = all_rows.unionByName(more.select(*columns))
+        return all_rows.repartition("place").sortWithinPartitions("place", "turn")
+
+    none, zero = F.lit(None).cast("binary"), F.lit(0).cast("long")
+    words = spread(counts.where(F.col("word") != -1).withColumn("bucket", F.col("word").bitwiseAND((1 << BUCKET_BITS) - 1))).withColumns({"turn": F.lit(0), "data": none})
+    tokens = encoded.select("row", "held_out", "symbols", "picks", "words").mapInArrow(blocks, "place long, n long, data binary").withColumns({"turn": F.lit(2), "word": zero})
+    kind = "row long, gain double, bucket long, word long, data binary"
+    done = placed(words, tokens).mapInArrow(grown(False), kind)
+    if (parts > 1).any():
+        done = kept(done, "lm-trees")
+        means = done.where("bucket IS NOT NULL").groupBy("bucket", "word").applyInPandas(added, "bucket long, word long, data binary")
+        many = F.col("place").isin([int(f + i) for f, p in zip(firsts, parts, strict=True) if p > 1 for i in range(p)])
+        trees = spread(means).withColumns({"turn": F.lit(1), "n": zero})
+        done = done.where("row IS NOT NULL").unionByName(placed(words.where(many), trees, tokens.where(many)).mapInArrow(grown(True), kind))
+    return done.groupBy("row").agg(F.sum("gain").alias("gain"))
+
+
 def score_texts(docs: DataFrame, options: Options = Options()) -> DataFrame:  # noqa: B008
     """Scores of all ``docs(doc_id, text)``; see the module for the model and its odd cases."""
     spark = docs.sparkSession
@@ -424,13 +640,14 @@ def score_texts(docs: DataFrame, options: Options = Options()) -> DataFrame:  #
         .groupBy("row")
         .agg(F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("more"), F.sum(F.col("times") * base).alias("base_tail"), F.sum(F.col("times") * inside).alias("rare_tail"))
     )
+    gains = tree_gains(encoded, counts, vocab, model, options)
     none = lambda c: F.coalesce(c, F.lit(0))
-    return texts.join(sums, "row", "left").select(
+    return texts.join(sums, "row", "left").join(gains, "row", "left").select(
         F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"),
         "held_out",
         "n_tokens",
         (F.col("n_known") + none("more")).alias("n_known"),
         F.lit(int(vocab.tokens)).cast("long").alias("train_tokens"),
         (F.col("base") + none("base_tail")).alias("base_score"),
-        (F.col("neural") + F.col("rare") + none("rare_tail")).alias("score"),
+        (F.col("neural") + F.col("rare") + none("rare_tail") + none("gain")).alias("score"),
     )

@@ -75,6 +75,33 @@ def test_language_model_probabilities_sum_to_one(spark):
     assert math.isclose(known.sum() + vocab.unknown_share()[0], 1, rel_tol=1e-9)
 
 
+def test_trees_give_probabilities():
+    r = np.random.default_rng(5)
+    for n in (1, 2, 5, 8, 13):
+        counts = r.integers(1, 9, n).astype(float)
+        tree, every = lm_scoring.Tree(counts, 4), np.arange(n)
+        assert np.allclose(tree.gain(np.zeros((n, 4), np.float32), every), 0, atol=1e-5)
+        tree.vectors[:], tree.bias[:] = r.normal(size=tree.vectors.shape), r.normal(size=tree.bias.shape)
+        hidden = np.repeat(r.normal(size=(1, 4)).astype(np.float32), n, axis=0)
+        assert math.isclose((np.exp(tree.gain(hidden, every)) * counts / counts.sum()).sum(), 1, rel_tol=1e-5)
+
+
+@pytest.mark.parametrize("part_tokens", [1 << 22, 1500])
+def test_rare_words_follow_their_contexts(spark, part_tokens, monkeypatch):
+    """Words that share a symbol, each after one of two cues; half of the held-out texts have the cues swapped."""
+    monkeypatch.setattr(lm_scoring, "PART_TOKENS", part_tokens)
+    held = lambda i: zlib.crc32(str(i).encode()) % 10 == 0
+    fill = [f"f{k}q{k % 90 + 10}" for k in range(lm_scoring.WORDS - 2)]
+    rows = [(i, " ".join(fill * 2)) for i in range(100_000, 100_040)]
+    for i in range(1600):
+        swapped = held(i) and i % 2
+        words = [(i * 7 + k * 3) % 60 for k in range(20)]
+        rows.append((i, " ".join(f"{'ab'[w % 2 ^ swapped] * 2}cue r{w}zz" for w in words)))
+    got = lm_scoring.score_texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).where("held_out AND doc_id < 100000").collect()
+    per = [[x.score for x in got if x.doc_id % 2 == odd] for odd in (0, 1)]
+    assert sum(per[0]) / len(per[0]) > sum(per[1]) / len(per[1]) + 2
+
+
 def test_context_symbols():
     pack = lambda *x: np.array(x, np.int16).tobytes()
     far, near, word, n = lm_scoring.contexts([pack(1, 2, 3), pack(), pack(7)])
