@@ -1,4 +1,4 @@
-"""Similarity join of word n-gram sets: all pairs of at least a given Jaccard similarity.
+"""Similarity join of word n-gram sets: components of links, pairs of at least a given Jaccard similarity.
 
 A document's set holds its distinct n-word shingles, as sorted 64-bit hashes. Equal sets are one
 class. Two sets that are similar enough share a shingle among the first few of each in any common
@@ -13,6 +13,8 @@ the first likely one before it and with the likeliest one. Components of these l
 hold several components are looked at, for pairs across components; each such pair is compared.
 So large groups of near copies cost about one comparison a member, and no link between different
 components is lost. Large tiles are cut by a hash, and all cuts are compared with each other.
+``join`` gives components only and compares few pairs within one; ``with_links`` also counts every
+link of a document: the sets of a component then meet once each, again in cuts.
 
 Defined cases: null and empty texts have empty sets and are linked with nothing; a text of fewer
 words than a shingle has them all as its one shingle; repeated rows are copies of each other; an
@@ -361,8 +363,8 @@ def by_tile(pairs: DataFrame, values: DataFrame, test, percent: int, connect: bo
     return placed.mapInArrow(compared, "tile long, a long, b long")
 
 
-def join(docs: DataFrame, options: Options = Options()) -> DataFrame:  # noqa: B008
-    """``docs(doc_id, text)`` to ``(doc_id, n_shingles, component_id)``: the smallest document reachable by links."""
+def classes_of(docs: DataFrame, options: Options) -> tuple[DataFrame, DataFrame]:
+    """``described`` documents, and the smallest document ``(name, component_id)`` reachable from each class by links."""
     rows = kept(described(docs, options.words), "shingle-sets")
     classes = kept(keyed(docs, common_shingles(rows), options), "set-keys")
     keys = classes.select(F.explode("keys").alias("key"), "name")
@@ -395,12 +397,65 @@ def join(docs: DataFrame, options: Options = Options()) -> DataFrame:  # noqa: B
     firsts = known.where("n > 0").groupBy("name").agg(F.min("doc_id").alias("first"))
     grouped = kept(firsts.join(ends.withColumnRenamed("node", "name"), "name", "left").withColumn("component", part), "classes")
     least = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
-    by_name = kept(grouped.join(least, "component").select("name", "component_id"), "class-components")
+    return rows, kept(grouped.join(least, "component").select("name", "component_id", "component"), "class-components")
+
+
+def join(docs: DataFrame, options: Options = Options()) -> DataFrame:  # noqa: B008
+    """``docs(doc_id, text)`` to ``(doc_id, n_shingles, component_id)``: the smallest document reachable by links."""
+    rows, by_name = classes_of(docs, options)
+    known = rows.where("n IS NOT NULL")
     empty = known.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     full = known.where("n > 0").join(by_name, "name").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return full.unionByName(empty)
 
 
+def with_links(docs: DataFrame, options: Options = Options()) -> DataFrame:  # noqa: B008
+    """What ``join`` gives, and ``n_links``: how many other rows are linked with a document, copies included.
+
+    Linked sets are in one component, so only its sets are compared, each pair once.
+    """
+    rows, by_name = classes_of(docs, options)
+    known, percent = rows.where("n IS NOT NULL"), options.percent
+    times = known.where("n > 0").groupBy("name").agg(F.count("*").alias("times"))
+    classes = kept(by_name.join(times, "name"), "class-times")
+    many = classes.groupBy("component").agg(F.count("*").alias("m")).where("m > 1")
+    open_classes = kept(classes.join(many, "component").select("component", "m", "name", "times"), "open-classes")
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tile in runs(batches, ("component", "low", "high")):
+            names, other, cut, low, high = (tile.column(c).to_numpy() for c in ("name", "times", "cut", "low", "high"))
+            sets = [np.frombuffer(x, np.uint64) for x in tile.column("shingles").to_pylist()]
+            sizes = np.array([len(x) for x in sets], np.int64)
+            signatures = np.frombuffer(b"".join(bitmap(x) for x in sets), np.uint64).reshape(len(sets), -1)
+            linked = np.zeros(len(sets), np.int64)
+            for i in range(len(sets)):
+                most = most_shared(sizes[i], signatures[i], sizes[i + 1 :], signatures[i + 1 :])
+                good = 100 * most >= percent * (sizes[i] + sizes[i + 1 :] - most)
+                if low[0] != high[0]:
+                    good &= cut[i + 1 :] != cut[i]
+                for j in (np.flatnonzero(good) + i + 1).tolist():
+                    both = overlap(sets[i], sets[j])
+                    if 100 * both >= percent * (sizes[i] + sizes[j] - both):
+                        linked[i] += other[j]
+                        linked[j] += other[i]
+            yield pa.record_batch([pa.array(names), pa.array(linked)], ["name", "linked"])
+
+    cuts = F.ceil(F.col("m") / TILE)
+    placed = (
+        open_classes.join(shingles_of(docs, open_classes.select("name"), options), "name")
+        .withColumn("cut", F.pmod(F.xxhash64("name"), cuts))
+        .withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), cuts - 1)))
+        .select("component", F.least("cut", "with").alias("low"), F.greatest("cut", "with").alias("high"), "cut", "name", "times", "shingles")
+        .repartition("component", "low", "high")
+        .sortWithinPartitions("component", "low", "high")
+    )
+    sums = placed.mapInArrow(counted, "name long, linked long").groupBy("name").agg(F.sum("linked").alias("linked"))
+    by_class = classes.join(sums, "name", "left").select("name", "component_id", (F.col("times") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"))
+    empty = known.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
+    full = known.where("n > 0").join(by_class, "name").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links")
+    return full.unionByName(empty)
+
+
 def one_of_each(docs: DataFrame, options: Options = Options()) -> DataFrame:  # noqa: B008
     """All columns of one document of each component: the one with the smallest id; rows that repeat
     id and text stay once. Rows without an id are in no component and stay."""

@@ -213,6 +213,24 @@ def test_ngram_join(odd_docs, odd_rows, tile, common, words, percent, monkeypatc
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted((i, *want[i]) for i, *_ in odd_rows)
 
 
+@pytest.mark.parametrize("tile", [512, 3])
+def test_every_link_of_a_document_is_counted(odd_docs, odd_rows, tile, monkeypatch):
+    monkeypatch.setattr(ngram_join, "TILE", tile)
+    sets = []
+    for i, t, *_ in odd_rows:
+        w = (t or "").encode().lower().split()
+        sets.append((i, {tuple(w[k : k + 4]) for k in range(len(w) - 3)} if len(w) >= 4 else {tuple(w)} if w else set()))
+    want = []
+    for k, (i, a) in enumerate(sets):
+        want.append((i, sum(bool(a) and 100 * len(a & b) >= 85 * len(a | b) for m, (_, b) in enumerate(sets) if m != k)))
+    got = ngram_join.with_links(odd_docs)
+    parts = join_by_hand(odd_rows, 4, 85)
+    rows = got.collect()
+    assert sorted((r.doc_id, r.n_links) for r in rows) == sorted(want)
+    assert all((r.n_shingles, r.component_id) == parts[r.doc_id] for r in rows)
+    assert max(n for _, n in want) >= 5
+
+
 def test_one_of_each(odd_docs, odd_rows, no_docs):
     want = join_by_hand(odd_rows, 5, 80)
     got = ngram_join.one_of_each(odd_docs, ngram_join.Options(words=5, percent=80))
