@@ -92,6 +92,10 @@ MARKED = re.compile(r"\[([^|\]]+)\|([a-z]+)\]")
 EDGES = "\"'<>[]{},;:!?"
 
 
+#: Shapes of longer words are computed each time, so that the cache stays small.
+CACHED_CHARS = 256
+
+
 @cache
 def shape(word: str) -> tuple[str, ...]:
     """Feature names of a word; words with equal features are one to the field."""
@@ -314,7 +318,8 @@ def tagged(field: Field, reach: int | None, data: np.ndarray, offsets: np.ndarra
     pieces = np.broadcast_to(plain, (len(words), *plain.shape)).copy()
     for i in np.flatnonzero(odd[words]).tolist():
         w = words[i]
-        pieces[i] = field.piece(shape(data[starts[w] : min(ends[w], starts[w] + 256)].tobytes().decode("utf-8", "replace")))
+        word = data[starts[w] : ends[w]].tobytes().decode("utf-8", "replace")
+        pieces[i] = field.piece((shape if len(word) <= CACHED_CHARS else shape.__wrapped__)(word))
     first = np.ones(len(words), bool)
     first[1:] = (words[1:] != words[:-1] + 1) | (doc[words[1:]] != doc[words[:-1]])
     scores = pieces[:, 1].copy()

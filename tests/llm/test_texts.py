@@ -343,3 +343,12 @@ def test_records_gzipped_one_by_one(spark, tmp_path):
     done = {r.capture_id: r for r in warc.assemble(warc.read_records(spark, str(tmp_path))).where("capture_id IS NOT NULL").collect()}
     assert done["<a>"].capture.payload_bytes == 14 and done["<a>"].request.record_id == "<b>" and done["<a>"].n_metadata == 1
     assert done["<lost>"].capture is None and done["<lost>"].n_requests == 1
+
+
+def test_the_shape_of_a_long_word_is_that_of_all_of_it():
+    field = pii.Field()
+    found = []
+    for lead in (0, 300, 70_000):
+        data, offsets = bytes_of(pa.array(["call me at " + "(" * lead + "555-123-4567 today"]))
+        found.append([kind for _, kind, _ in pii.tagged(field, field.reach(), data, offsets).get(0, [])])
+    assert found[0] and found[0] == found[1] == found[2]
