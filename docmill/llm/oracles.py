@@ -123,4 +123,44 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(first, doc_i
 FROM words LEFT JOIN sizes USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS first FROM reach GROUP BY a) USING (doc_id)
 """
 
-ORACLES = {"op2_quality_rules": QUALITY, "op4_mixing": MIXING, "op5_embedding_dedup": VECTORS, "op7_warc": WARC, "op8_ngram_join": JOIN}
+def vector_codes(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Rounds of Lloyd by comparing every part with every entry, ties by the lower index."""
+    distance = "list_dot_product(x, x) - 2 * list_dot_product(x, y) + list_dot_product(y, y)"
+
+    def near(i: int) -> str:
+        return f"""near{i} AS MATERIALIZED (
+  SELECT vec_id, p, min(CAST({distance} AS BIGINT) * {entries} + e) AS best FROM parts JOIN book{i} USING (p) GROUP BY ALL
+)"""
+
+    def moved(i: int) -> str:
+        return f"""book{i + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(m.y, b.y) AS y FROM book{i} b LEFT JOIN (
+    SELECT p, e, list(CAST(floor(s / n) AS DOUBLE) ORDER BY i) AS y FROM (
+      SELECT p, best % {entries} AS e, i, sum(x[i]) AS s, count(*) AS n
+      FROM near{i} JOIN parts USING (vec_id, p), (SELECT unnest(range(1, 1 + (SELECT max(len(x)) FROM parts))) AS i) GROUP BY ALL
+    ) GROUP BY ALL
+  ) m USING (p, e)
+)"""
+
+    steps = ", ".join(f"{near(i)}, {moved(i)}" for i in range(rounds))
+    return f"""
+WITH good AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT vec_id, p, list_slice(v, p * len(v) // {parts} + 1, (p + 1) * len(v) // {parts}) AS x FROM good, (SELECT unnest(range({parts})) AS p)
+), book0 AS MATERIALIZED (
+  SELECT p, e, x AS y FROM (SELECT p, x, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e FROM parts) WHERE e < {entries}
+), {steps}, {near(rounds)}, coded AS (
+  SELECT vec_id, lower(string_agg(printf('%02x', CAST(best % {entries} AS INTEGER)), '' ORDER BY p)) AS code,
+    CAST(sum(best // {entries}) AS BIGINT) AS error FROM near{rounds} GROUP BY vec_id
+), books AS (
+  SELECT sha256(string_agg(CAST(CAST(z AS BIGINT) AS VARCHAR), ',' ORDER BY p, e, i)) AS codebooks_sha256
+  FROM (SELECT p, e, unnest(y) AS z, generate_subscripts(y, 1) AS i FROM book{rounds})
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded JOIN good USING (vec_id), books
+"""
+
+
+ORACLES = {"op2_quality_rules": QUALITY, "op4_mixing": MIXING, "op5_embedding_dedup": VECTORS, "op7_warc": WARC, "op8_ngram_join": JOIN, "op11_vector_codes": vector_codes()}
