@@ -312,11 +312,11 @@ def compress(vectors: DataFrame, vector: str = "embedding") -> DataFrame:
     rows = vectors.select(F.col("vec_id").alias("id"), "label", F.col(vector).alias("vector")).where(usable(F.col("vector")))
     lengths = rows.where(F.size("vector") > 0).groupBy(F.size("vector").alias("length")).agg(F.count("*").alias("n"))
     common = lengths.orderBy(F.desc("n"), "length").first()
-    length = common.length if common else 0
+    length = common.length if common else None
     types = {f.name: f.dataType for f in rows.schema}
     empty = F.lit(None).cast("string").alias("code"), F.lit(None).cast("long").alias("error")
-    others = rows.where(F.size("vector") != length).select(F.col("id").alias("vec_id"), "label", *empty)
-    if not length:
+    others = rows.where(F.size("vector") != length if common else F.lit(True)).select(F.col("id").alias("vec_id"), "label", *empty)
+    if length is None:
         done, books = others, []
     else:
         fitting = rows.where(F.size("vector") == length)
