@@ -163,4 +163,77 @@ FROM coded JOIN good USING (vec_id), books
 """
 
 
-ORACLES = {"op2_quality_rules": QUALITY, "op4_mixing": MIXING, "op5_embedding_dedup": VECTORS, "op7_warc": WARC, "op8_ngram_join": JOIN, "op11_vector_codes": vector_codes()}
+def crc32_of(text: str) -> str:
+    """CRC-32 of ASCII text, bit by bit."""
+    return (
+        f"xor(4294967295, list_reduce([CAST(4294967295 AS BIGINT)] || list_transform(string_split({text}, ''), lambda c: CAST(ord(c) AS BIGINT)), "
+        "lambda acc, b: list_reduce([xor(acc, b)] || range(8), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))))"
+    )
+
+
+def conversations() -> str:
+    """The best repair of the first i rows for each state, i growing; a weight is six digits of cost, then the audit."""
+
+    def after(weight: str, cost: str, initial: str) -> str:
+        return f"printf('%06d', CAST(left({weight}, 6) AS INTEGER) + {cost}) || substr({weight}, 7) || '{initial}'"
+
+    def given(role: str, weight: str) -> str:
+        return f"CASE WHEN letter = 'd' THEN NULL WHEN initial = '{role}' THEN {after(weight, 'more', 'K')} ELSE {after(weight, '3 + more', 'R')} END"
+
+    gone = {q: after(f"i{q}", "4", "D") for q in "0123"}
+    to_user = ", ".join(given("u", f"i{q}") for q in "013")
+    return f"""
+WITH RECURSIVE numbered AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {crc32_of("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS fault FROM conversations
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM numbered
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS seen,
+    left(role, 1) AS initial, rtrim(text, E' \\t\\n\\x0b\\f\\r') AS trimmed FROM damaged
+), faults AS (
+  SELECT *, CASE WHEN trimmed = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate' WHEN right(trimmed, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
+    lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM placed
+), rows AS (
+  SELECT *, CASE WHEN fault IN ('blank', 'duplicate') THEN 'd' ELSE 'k' END AS letter, CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS more FROM faults
+), ids AS (
+  SELECT DISTINCT conv_id FROM conversations
+), steps(conv_id, i, s0, s1, s2, s3) AS (
+  SELECT conv_id, CAST(0 AS BIGINT), '000000', CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR) FROM ids
+  UNION ALL
+  SELECT p.conv_id, r.i, {gone["0"]},
+    least({gone["1"]}, CASE WHEN letter <> 'd' AND initial = 's' THEN {after("i0", "more", "K")} END),
+    least({gone["2"]}, {to_user}), least({gone["3"]}, {given("a", "i2")})
+  FROM (
+    SELECT conv_id, i, s0 AS i0, s1 AS i1, s2 AS i2, least(s3, {after("s2", "3", "I")}) AS i3 FROM (
+      SELECT conv_id, i, s0, s1, s3, least(s2, {after("s0", "3", "I")}, {after("s1", "3", "I")}, {after("s3", "3", "I")}) AS s2 FROM steps
+    )
+  ) p JOIN rows r ON r.conv_id IS NOT DISTINCT FROM p.conv_id AND r.i = p.i + 1
+), last AS (
+  SELECT conv_id, least(s0, s3, {after("s2", "3", "I")}, {after(after("s1", "3", "I"), "3", "I")}, {after(after("s0", "3", "I"), "3", "I")}) AS weight
+  FROM steps WHERE (conv_id, i) IN (SELECT (conv_id, max(i)) FROM steps GROUP BY conv_id)
+), audits AS (
+  SELECT conv_id, CAST(left(weight, 6) AS BIGINT) AS cost, substr(weight, 7) AS audit, len(replace(substr(weight, 7), 'D', '')) % 2 AS odd FROM last
+), letters AS (
+  SELECT *, count(*) FILTER (edit <> 'I') OVER w AS i, count(*) FILTER (edit <> 'D') OVER w AS place
+  FROM (SELECT conv_id, odd, unnest(string_split(audit, '')) AS edit, generate_subscripts(string_split(audit, ''), 1) AS p FROM audits WHERE audit <> '')
+  WINDOW w AS (PARTITION BY conv_id ORDER BY p)
+), repaired AS (
+  SELECT l.conv_id, string_agg(CASE WHEN edit = 'K' THEN r.role WHEN (place + odd) % 2 = 1 THEN 'user' ELSE 'assistant' END
+    || ':' || CASE WHEN edit = 'I' THEN '' ELSE r.text END, chr(10) ORDER BY place) AS lines
+  FROM letters l LEFT JOIN rows r ON r.conv_id IS NOT DISTINCT FROM l.conv_id AND r.i = l.i WHERE edit <> 'D' GROUP BY l.conv_id
+), counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM rows GROUP BY conv_id
+)
+SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, cost, audit, sha256(coalesce(lines, '')) AS repaired_sha256
+FROM audits a LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM a.conv_id
+"""
+
+
+ORACLES = {"op2_quality_rules": QUALITY, "op4_mixing": MIXING, "op5_embedding_dedup": VECTORS, "op7_warc": WARC, "op8_ngram_join": JOIN, "op11_vector_codes": vector_codes(), "op12_conversation_repair": conversations()}
