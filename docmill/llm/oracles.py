@@ -191,11 +191,9 @@ WITH RECURSIVE numbered AS (
     CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
     unnest(range(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM numbered
 ), placed AS (
-  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
-    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS seen,
-    left(role, 1) AS initial, rtrim(text, E' \\t\\n\\x0b\\f\\r') AS trimmed FROM damaged
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, left(role, 1) AS initial, rtrim(text, E' \\t\\n\\x0b\\f\\r') AS trimmed FROM damaged
 ), faults AS (
-  SELECT *, CASE WHEN trimmed = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate' WHEN right(trimmed, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
+  SELECT *, CASE WHEN trimmed = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate' WHEN right(trimmed, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
     lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM placed
 ), rows AS (
   SELECT *, CASE WHEN fault IN ('blank', 'duplicate') THEN 'd' ELSE 'k' END AS letter, CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS more FROM faults
