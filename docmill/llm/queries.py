@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docmill.llm import byte_bpe, conversation_repair, lm_scoring, mixing, ngram_join, pii, product_quantisation, quality_classifier, quality_rules, resharding, vector_codes, warc
+from docmill.llm import byte_bpe, conversation_repair, lm_scoring, mixing, ngram_join, packing, pii, product_quantisation, quality_classifier, quality_rules, resharding, vector_codes, warc
 from docmill.llm.shared import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+TOKENIZER = "byte_bpe_50k.json"
 SHARDS = 16
 OLD_SHARDS = 12
 
@@ -69,4 +70,8 @@ def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_repair.repair_report(conversation_repair.damaged(conversations), conversations)
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_quality_rules, op3_resharding, op4_mixing, op5_embedding_dedup, op6_byte_bpe, op7_warc, op8_ngram_join, op9_quality_classifier, op10_pii, op11_vector_codes, op12_conversation_repair)}
+def op13_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN)
+
+
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_quality_rules, op3_resharding, op4_mixing, op5_embedding_dedup, op6_byte_bpe, op7_warc, op8_ngram_join, op9_quality_classifier, op10_pii, op11_vector_codes, op12_conversation_repair, op13_packing)}
