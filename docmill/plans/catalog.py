@@ -205,7 +205,7 @@ def write_markdown(spark, folder):
         "truncated",
         F.col("output_path").isNotNull().alias("has_path"),
         F.col("markdown").isNull().alias("body_left_out"),
-        F.startswith("notes", F.lit("The full Markdown is on disk at ")).alias("has_hint"),
+        F.startswith("notes", F.lit("All of the Markdown was written to ")).alias("has_hint"),
         "digest",
     )
 
@@ -426,7 +426,8 @@ def tsv_to_markdown(spark, folder):
 @query
 def ordered_parts(spark, folder):
     key = F.col("doc_id")
-    digit = F.when(key % S.BUCKET == 0, F.lit("")).otherwise(S.word((key * 7) % S.BUCKET * 4))
+    tail = F.repeat(F.lit("3"), F.element_at(F.array(F.lit(0), F.lit(18), F.lit(398)), (key % 3 + 1).cast("int")))
+    digit = F.when(key % S.BUCKET == 0, F.lit("")).otherwise(F.concat(S.word((key * 7) % S.BUCKET * 4), tail))
     parts = S.documents(spark, folder).select(
         F.floor(key / S.BUCKET).cast("bigint").alias("doc_id"),
         (key % S.BUCKET).cast("bigint").alias("entry_idx"),
@@ -434,7 +435,7 @@ def ordered_parts(spark, folder):
         F.col("text").alias("content"),
     )
     return archive.ordered_parts(parts, r"slide\d*\.xml$").select(
-        "doc_id", "entry_idx", "part", F.col("part_no").cast("bigint").alias("part_no"), F.col("pos").cast("bigint").alias("pos")
+        "doc_id", "entry_idx", "part", F.col("part_no").cast("string").alias("part_no"), F.col("pos").cast("bigint").alias("pos")
     )
 
 

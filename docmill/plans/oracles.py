@@ -165,8 +165,8 @@ SELECT doc_id, input,
   CASE WHEN doc_id % 4 < 2 AND page_id IS NOT NULL THEN 'ok'
        WHEN doc_id % 4 = 2 AND doc_id % 9 < 7 THEN 'not_a_file' ELSE 'not_found' END AS status,
   CASE WHEN doc_id % 4 < 2 AND page_id IS NOT NULL THEN NULL
-       WHEN doc_id % 4 = 2 AND doc_id % 9 < 7 THEN 'input is a directory, not a file: ' || input
-       ELSE 'input not found: ' || input END AS error
+       WHEN doc_id % 4 = 2 AND doc_id % 9 < 7 THEN 'a folder was named: ' || input
+       ELSE 'nothing is there: ' || input END AS error
 FROM wanted LEFT JOIN pages ON page_id = doc_id"""
 
 ORACLES["classify_input"] = f"""
@@ -179,9 +179,9 @@ SELECT page_id, allow_urls, input, CASE WHEN page_id % 6 < 2 THEN 'url' ELSE 'fi
   CASE page_id % 6 WHEN 2 THEN '/data/a b+c/' || page_id || '.txt' WHEN 5 THEN NULL ELSE input END AS target,
   CASE WHEN page_id % 6 < 2 AND NOT allow_urls THEN 'url_disabled' WHEN page_id % 6 = 4 THEN 'empty_input'
     WHEN page_id % 6 = 5 THEN 'not_found' ELSE 'ok' END AS status,
-  CASE WHEN page_id % 6 < 2 AND NOT allow_urls THEN 'URL inputs are disabled'
-    WHEN page_id % 6 = 4 THEN 'input is empty'
-    WHEN page_id % 6 = 5 THEN 'not a local file URL: ' || input END AS error
+  CASE WHEN page_id % 6 < 2 AND NOT allow_urls THEN 'URLs are switched off'
+    WHEN page_id % 6 = 4 THEN 'no input was named'
+    WHEN page_id % 6 = 5 THEN 'a file URL of another host: ' || input END AS error
 FROM raw CROSS JOIN (VALUES (true), (false)) AS v(allow_urls)"""
 
 URL_PATH = "string_split(regexp_split_to_array(url, '[?#]')[1], '/')"
@@ -257,8 +257,8 @@ WITH {NAMED}, {FORMATS},
 SELECT doc_id, name, extension, format, CASE WHEN status <> 'ok' THEN 'refused'
     WHEN format IN ('docx', 'xlsx', 'pptx', 'epub') THEN 'container' ELSE 'inline' END AS family, status,
   CASE status WHEN 'unsupported' THEN '.' || extension || ': ' || reason
-    WHEN 'no_extension' THEN 'no file extension, so the built-in engine cannot pick a converter'
-    WHEN 'binary' THEN '.' || extension || ' looks like binary data' END AS error
+    WHEN 'no_extension' THEN 'the name has no extension to go by'
+    WHEN 'binary' THEN '.' || extension || ' holds binary data' END AS error
 FROM s"""
 ORACLES["supports_format"] = f"""
 WITH {NAMED}, {FORMATS}
@@ -361,13 +361,15 @@ for _name in ("csv_to_markdown", "tsv_to_markdown"):
 
 ORACLES["ordered_parts"] = """
 WITH p AS (
-  SELECT CAST(doc_id // 10 AS BIGINT) AS doc_id, CAST(doc_id % 10 AS BIGINT) AS entry_idx,
-    CAST(CASE WHEN doc_id % 10 = 0 THEN 2 ELSE doc_id * 7 % 10 * 4 END AS BIGINT) AS part_no,
-    'p2/slide' || CASE WHEN doc_id % 10 = 0 THEN '' ELSE CAST(doc_id * 7 % 10 * 4 AS VARCHAR) END || '.xml' AS part
-  FROM documents)
-SELECT doc_id, entry_idx, part, part_no,
-  CAST(row_number() OVER (PARTITION BY doc_id ORDER BY part_no, entry_idx) - 1 AS BIGINT) AS pos
-FROM p"""
+  SELECT CAST(doc_id // 10 AS BIGINT) AS doc_id, CAST(doc_id % 10 AS BIGINT) AS entry_idx, CASE WHEN doc_id % 10 = 0 THEN ''
+    ELSE CAST(doc_id * 7 % 10 * 4 AS VARCHAR) || repeat('3', CASE doc_id % 3 WHEN 0 THEN 0 WHEN 1 THEN 18 ELSE 398 END) END AS digits
+  FROM documents
+), n AS (
+  SELECT *, CASE WHEN digits = '' THEN '2' ELSE ltrim(digits, '0') END AS number FROM p
+)
+SELECT doc_id, entry_idx, 'p2/slide' || digits || '.xml' AS part, CASE WHEN number = '' THEN '0' WHEN len(number) <= 38 THEN number END AS part_no,
+  CAST(row_number() OVER (PARTITION BY doc_id ORDER BY len(number), number, entry_idx) - 1 AS BIGINT) AS pos
+FROM n"""
 ORACLES["shared_strings"] = f"WITH {BY_LINE} SELECT doc_id, CAST(i AS BIGINT) AS idx, line AS value FROM l"
 ORACLES["sheet_names"] = f"SELECT doc_id, CAST(0 AS BIGINT) AS pos, {FIRST} AS name FROM documents"
 LETTERS = """CASE p_partkey % 5 WHEN 0 THEN chr(CAST(65 + p_partkey % 26 AS INTEGER))
@@ -490,8 +492,8 @@ RESULTS = f"""
       CASE WHEN doc_id % 2 = 0 THEN '{REMEDY}' || {NL} ELSE '' END ||
       CASE WHEN doc_id % 5 <> 0 AND doc_id % 700 > 0 THEN 'engine stderr: ' || repeat('e', least(doc_id % 700, 600)) ||
         CASE WHEN doc_id % 700 > 600 THEN chr(8230) ELSE '' END || {NL} ELSE '' END ||
-      CASE WHEN doc_id % 3 = 0 THEN 'The full Markdown is on disk at /out/' || doc_id ||
-        '.md; read it with the file tools instead of converting again.' || {NL} ELSE '' END AS noted
+      CASE WHEN doc_id % 3 = 0 THEN 'All of the Markdown was written to /out/' || doc_id ||
+        '.md; open that file rather than converting anew.' || {NL} ELSE '' END AS noted
     FROM documents)"""
 ORACLES["truncate_result"] = f"""
 WITH {RESULTS} SELECT doc_id, output_path, chars, truncated, CASE WHEN truncated THEN substr(text, 1, {MAX_CHARS}) ELSE text END AS markdown FROM r"""
