@@ -244,7 +244,12 @@ def open_pairs(rows: DataFrame, percent: int, few: bool) -> DataFrame:
 
     With ``few`` a row is paired with two others only: the first one before it, and the one with the
     highest bound on their similarity. That connects most of a group by a few pairs a member.
+    Otherwise rows have the key's ``rank`` in the order of their shingles, and a ``fine`` bitmap:
+    before their first shared key two sets share nothing, so what follows it bounds their overlap (a
+    pair that this bound excludes at a later key is held to its first one there), and the fine
+    bitmaps must allow it too. What many unlike sets share then makes no pairs.
     """
+    more = () if few else ("rank", "fine")
 
     def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in whole_runs(batches, ("tile",)):
@@ -252,6 +257,7 @@ def open_pairs(rows: DataFrame, percent: int, few: bool) -> DataFrame:
             left, right = (block.column(c).to_numpy(zero_copy_only=False) for c in ("left", "right"))
             signatures = np.frombuffer(b"".join(block.column("bits").to_pylist()), np.uint64).reshape(len(names), -1)
             tile = block.column("tile").to_numpy()
+            rank, maps = (None, None) if few else (block.column("rank").to_numpy(), block.column("fine"))
             found, at, claimed = [], np.arange(len(names) - 1), np.zeros(len(names), bool)
             score, partner = np.zeros(len(names)), np.full(len(names), -1)
             for step in range(1, len(names)):
@@ -267,6 +273,11 @@ def open_pairs(rows: DataFrame, percent: int, few: bool) -> DataFrame:
                 most = most_shared(sizes[i], signatures[i], sizes[j], signatures[j])
                 good = 100 * most >= percent * (sizes[i] + sizes[j] - most)
                 i, j, most = i[good], j[good], most[good]
+                if not few and len(i):
+                    after = np.minimum(sizes[i] - rank[i], sizes[j] - rank[j])
+                    near = (100 + percent) * after >= percent * (sizes[i] + sizes[j])
+                    near[near] = [may_match(maps[x].as_buffer(), maps[y].as_buffer(), int(sizes[x]), int(sizes[y]), percent) for x, y in zip(i[near].tolist(), j[near].tolist(), strict=True)]
+                    i, j = i[near], j[near]
                 if few:
                     rate = most / (sizes[i] + sizes[j])
                     for one, other in ((i, j), (j, i)):
@@ -288,7 +299,7 @@ def open_pairs(rows: DataFrame, percent: int, few: bool) -> DataFrame:
         F.transform(every, lambda k: F.struct(k.cast("long").alias("cut"), F.col("cut").cast("long").alias("other"), F.lit(False).alias("left"), F.lit(True).alias("right"))),
     )
     once = F.filter(ways, lambda w: ~(F.col("home") & ~w["left"] & (w["cut"] == w["other"])))
-    spread = rows.withColumn("way", F.explode(once)).select("key", "band", "way.*", "name", "n", "bits", "component")
+    spread = rows.withColumn("way", F.explode(once)).select("key", "band", "way.*", "name", "n", "bits", "component", *more)
     spread = spread.withColumn("tile", F.xxhash64("key", "band", "cut", "other")).drop("key", "band", "cut", "other")
     placed = spread.repartition("tile").sortWithinPartitions("tile", "name")
     return placed.mapInArrow(paired, "tile long, a long, b long").groupBy("a", "b").agg(F.min("tile").alias("tile"))
@@ -308,7 +319,7 @@ def fine(shingles: np.ndarray) -> bytes:
     return np.packbits(bits.astype(bool)).tobytes()
 
 
-def may_match(x: bytes, y: bytes, n: int, m: int, percent: int) -> bool:
+def may_match(x, y, n: int, m: int, percent: int) -> bool:
     """The bound on the overlap by fine bitmaps; a longer one is folded to the length of the other."""
     a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
     if len(a) < len(b):
@@ -367,14 +378,15 @@ def classes_of(docs: DataFrame, options: Options) -> tuple[DataFrame, DataFrame]
     """``described`` documents, and the smallest document ``(name, component_id)`` reachable from each class by links."""
     rows = kept(described(docs, options.words), "shingle-sets")
     classes = kept(keyed(docs, common_shingles(rows), options), "set-keys")
-    keys = classes.select(F.explode("keys").alias("key"), "name")
+    keys = classes.select(F.posexplode("keys").alias("rank", "key"), "name")
     shared = kept(keys.groupBy("key").agg(F.min("name").alias("low"), F.max("name").alias("high"), F.count("*").alias("m")).where("low <> high").select("key", "m"), "shared-keys")
     open_keys = kept(keys.join(shared, "key").distinct(), "open-keys")
 
     def links_of(rows: DataFrame, few: bool) -> DataFrame:
         # Stored, as it is read twice and which pair comes first must not change between the reads.
-        rough = kept(open_pairs(tiles(rows, options.percent), options.percent, few), "likely-pairs")
-        pairs = kept(by_tile(rough, classes.select("name", "n", F.col("fine").alias("value")).dropDuplicates(["name"]), may_match, options.percent, False), "set-pairs")
+        pairs = kept(open_pairs(tiles(rows, options.percent), options.percent, few), "likely-pairs")
+        if few:
+            pairs = kept(by_tile(pairs, classes.select("name", "n", F.col("fine").alias("value")).dropDuplicates(["name"]), may_match, options.percent, False), "set-pairs")
         wanted = pairs.select(F.col("a").alias("name")).unionByName(pairs.select(F.col("b").alias("name"))).distinct()
         sets = shingles_of(docs, wanted, options).select("name", F.octet_length("shingles").cast("long").alias("bytes"), F.col("shingles").alias("value"))
         sets = sets.withColumn("n", F.expr("bytes div 8")).drop("bytes")
@@ -390,7 +402,7 @@ def classes_of(docs: DataFrame, options: Options) -> tuple[DataFrame, DataFrame]
     part: Column = F.coalesce("component", "name")
     placed = kept(open_keys.join(parts.withColumnRenamed("node", "name"), "name", "left").withColumn("component", part), "placed-keys")
     mixed_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    rest = placed.join(mixed_keys, "key").join(facts.select("name", "n", "bits"), "name")
+    rest = placed.join(mixed_keys, "key").join(classes.select("name", "n", "bits", "fine").dropDuplicates(["name"]), "name")
     ends = components(links.unionByName(links_of(rest, False)), "parts")
 
     known = rows.where("n IS NOT NULL")
