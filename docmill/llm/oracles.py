@@ -16,17 +16,14 @@ WITH docs AS (
 ), repeated AS (
   SELECT r, count(DISTINCT i + k) AS n FROM twice, range(8) AS t(k) GROUP BY r
 ), lines AS (
-  SELECT r, host, text, line, regexp_matches(line, '[^\\x20\\x09-\\x0D]') AS filled,
+  SELECT r, host, name, line, regexp_matches(line, '[^\\x20\\x09-\\x0D]') AS filled,
     array_to_string(regexp_extract_all(regexp_replace(translate(line, '{UPPER}', '{LOWER}'), '[0-9]', '0', 'g'), '{WORD}'), ' ') AS plain,
     len(regexp_extract_all(line, '{WORD}')) AS n
-  FROM (SELECT r, host, text, unnest(string_split(text, chr(10))) AS line FROM docs)
+  FROM (SELECT r, host, coalesce('i' || CAST(doc_id AS VARCHAR), 't' || text) AS name, unnest(string_split(text, chr(10))) AS line FROM docs)
 ), dup AS (
   SELECT r, count(*) FILTER (filled) - count(DISTINCT line) FILTER (filled) AS n FROM lines GROUP BY r
-), totals AS (
-  SELECT host, count(DISTINCT text) AS total FROM docs GROUP BY host
 ), above AS (
-  SELECT host, plain FROM (SELECT host, plain, count(DISTINCT text) AS n FROM lines WHERE filled GROUP BY host, plain)
-  JOIN totals USING (host) WHERE n > 20 AND n > 0.05 * total
+  SELECT host, plain FROM lines WHERE filled GROUP BY host, plain HAVING count(DISTINCT name) > 20
 ), removed AS (
   SELECT r, sum(n) AS n FROM lines JOIN above USING (host, plain) WHERE filled GROUP BY r
 ), facts AS (

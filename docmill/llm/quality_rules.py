@@ -1,14 +1,15 @@
 """Rules on single texts and on lines that many documents of a host share.
 
 A line is normalised (A-Z lower-cased, digits to 0, words joined by one blank) and hashed with
-its host. Every distinct text of a host counts once for each of its lines. A line found in more
-than ``share`` of the host's distinct texts, and in more than ``least`` of them, is above the
-limit: it is removed. A document is depleted, and rejected, when less than ``remaining`` of its
-words are left; it also fails when it has few words or mostly repeats itself.
+its host. Every document of a host, copies of others included, counts once for each of its lines.
+A line found in more than ``documents`` documents of its host is above the limit, however large
+the host is: it is removed. A document is depleted, and rejected, when less than ``remaining`` of
+its words are left; it also fails when it has few words or mostly repeats itself.
 
 Defined cases: null texts have no words and fail; a null host is a host of its own; lines without
-words are never removed; repeated rows count once in line counts and are decided each; an empty
-table gives no rows. All input columns pass through; a column named like a result is replaced.
+words are never removed; rows with one id are one document in line counts, rows without an id one
+for each text, and all rows are decided each; an empty table gives no rows. All input columns pass
+through; a column named like a result, in any case, is replaced.
 """
 
 from __future__ import annotations
@@ -47,8 +48,7 @@ RESULTS = {
 
 @dataclass(frozen=True)
 class Limits:
-    least: int = 20
-    share: float = 0.05
+    documents: int = 20
     remaining: float = 0.2
     words: int = 20
     repeated_percent: int = 30
@@ -63,34 +63,25 @@ def host_of(source: str | None) -> bytes:
 
 
 def shared_lines(docs: DataFrame, host: str, limits: Limits) -> DataFrame:
-    """Keys of the lines above the limit of their host; distinct texts are counted, in two steps."""
+    """Keys of the lines above the limit of their host; distinct documents are counted, in two steps."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            hosts, keys, texts, seen = [], [], [], set()
-            for source, text in zip(batch.column("host").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            keys, names = [], []
+            for source, text, name in zip(*(batch.column(c).to_pylist() for c in ("host", "text", "name")), strict=True):
                 source, data = host_of(source), (text or "").encode()
-                name = line_key(source, [data])
-                if name in seen:
-                    continue
-                seen.add(name)
                 mine = {line_key(source, w) for line in data.translate(ZEROS).split(b"\n") if (w := line.split())}
-                owner = line_key(source, [])
-                hosts += [owner] * (len(mine) + 1)
-                keys += [*mine, None]
-                texts += [name] * (len(mine) + 1)
-            yield pa.record_batch([pa.array(hosts, pa.int64()), pa.array(keys, pa.int64()), pa.array(texts, pa.int64())], ["host", "line", "text"])
+                keys += mine
+                names += [line_key(b"id", [name.encode()]) if name is not None else line_key(b"text", [data])] * len(mine)
+            yield pa.record_batch([pa.array(keys, pa.int64()), pa.array(names, pa.int64())], ["line", "name"])
 
-    rows = docs.select(F.col(host).alias("host"), "text").mapInArrow(found, "host long, line long, text long").distinct()
-    counts = kept(rows.groupBy("host", "line").agg(F.count("*").alias("n")), "line-counts")
-    totals = counts.where("line IS NULL").select("host", F.col("n").alias("total"))
-    above = (F.col("n") > limits.least) & (F.col("n") > limits.share * F.col("total"))
-    return counts.where(F.col("line").isNotNull() & (F.col("n") > limits.least)).join(totals, "host").where(above).select("line")
+    rows = docs.select(F.col(host).alias("host"), "text", F.col("doc_id").cast("string").alias("name")).mapInArrow(found, "line long, name long").distinct()
+    return rows.groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") > limits.documents).select("line")
 
 
 def decided(docs: DataFrame, host: Column, removed: Column, common, limits: Limits) -> DataFrame:
     """Measure, clean and judge every text in one pass. ``removed`` has a row's own lines above the limit, or null for ``common``."""
-    passed = [f for f in docs.schema.fields if f.name not in RESULTS]
+    passed = [f for f in docs.schema.fields if f.name.lower() not in RESULTS]
     schema = T.StructType([*passed, *(T.StructField(k, v) for k, v in RESULTS.items())])
     text_at = [f.name for f in passed].index("text")
 
@@ -151,11 +142,10 @@ def repeat_words(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def apply_rules(docs: DataFrame, host: str = "source", limits: Limits = Limits()) -> DataFrame:  # noqa: B008
-    """``docs(text, <host>, ...)`` with the measures of each text, ``kept``, and its ``cleaned`` text.
+    """``docs(doc_id, text, <host>, ...)`` with the measures of each text, ``kept``, and its ``cleaned`` text.
 
-    The lines above the limit are few: on each host at most as many as the mean lines of a text
-    divided by ``share``. They are sent to all executors if they are at most BROADCAST_LINES in
-    all, so no text is moved; with more, each text is joined with its own.
+    Lines above the limit are sent to all executors if they are at most BROADCAST_LINES in all, so
+    no text is moved; with more, each text is joined with its own.
     """
     above = kept(shared_lines(docs, host, limits), "shared-lines")
     if above.count() <= BROADCAST_LINES:

@@ -231,6 +231,26 @@ def test_every_link_of_a_document_is_counted(odd_docs, odd_rows, tile, monkeypat
     assert max(n for _, n in want) >= 5
 
 
+def test_a_shared_passage_makes_no_pairs(spark, monkeypatch):
+    """Documents that share one passage and nothing else, more of them than a common shingle is found in."""
+    made = []
+    plain = ngram_join.open_pairs
+
+    def noted(rows, percent, few):
+        out = plain(rows, percent, few)
+        if not few:
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "open_pairs", noted)
+    passage = " ".join(f"shared{i}" for i in range(60))
+    rows = [(d, f"{' '.join(f'w{d}x{i}' for i in range(900))} {passage} {' '.join(f'v{d}x{i}' for i in range(900))}") for d in range(60)]
+    rows += [(100, rows[3][1] + " one more"), (101, rows[3][1] + " another")]
+    got = {r.doc_id: r.component_id for r in ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {d: 3 if d >= 100 else d for d, _ in rows}
+    assert made[0] <= 60  # 1,770 pairs share the passage
+
+
 def test_one_of_each(odd_docs, odd_rows, no_docs):
     want = join_by_hand(odd_rows, 5, 80)
     got = ngram_join.one_of_each(odd_docs, ngram_join.Options(words=5, percent=80))

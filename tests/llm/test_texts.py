@@ -114,11 +114,10 @@ def test_context_symbols():
 
 def rules_by_hand(rows, limits):
     norm = lambda line: tuple(w.translate(quality_rules.ZEROS) for w in line.encode().split())
-    lines, hosts = {}, {}
-    for _, t, _, s, _ in rows:
-        hosts.setdefault(s, set()).add(t or "")
+    lines = {}
+    for i, t, _, s, _ in rows:
         for line in (t or "").split("\n"):
-            lines.setdefault((s, norm(line)), set()).add(t or "")
+            lines.setdefault((s, norm(line)), set()).add((i, "" if i is not None else t))
     out = []
     for i, t, _, s, _ in rows:
         t, words = t or "", split(t)
@@ -131,7 +130,7 @@ def rules_by_hand(rows, limits):
         gone = 0
         for x in t.split("\n"):
             n = len(lines[s, norm(x)])
-            if norm(x) and n > limits.least and n > limits.share * len(hosts[s]):
+            if norm(x) and n > limits.documents:
                 gone += len(norm(x))
         failed = len(words) < limits.words or 100 * len(marked) > limits.repeated_percent * len(words)
         chars = sum(len(w.decode()) for w in words)
@@ -143,7 +142,7 @@ def rules_by_hand(rows, limits):
 def test_quality_rules(odd_docs, odd_rows, no_docs, sent, monkeypatch):
     if not sent:
         monkeypatch.setattr(quality_rules, "BROADCAST_LINES", -1)
-    limits = quality_rules.Limits(least=1, share=0.01)
+    limits = quality_rules.Limits(documents=1)
     done = quality_rules.apply_rules(odd_docs, limits=limits)
     assert done.columns.count("kept") == 1 and "size" in done.columns
     got = sorted(tuple(r) for r in done.select("doc_id", *list(quality_rules.RESULTS)[:-1]).collect())
@@ -155,6 +154,19 @@ def test_quality_rules(odd_docs, odd_rows, no_docs, sent, monkeypatch):
     assert quality_rules.apply_rules(no_docs).count() == 0
 
 
+def test_copies_lift_a_line_over_the_limit_of_any_host(spark):
+    body = " ".join(f"word{i}" for i in range(40))
+    rows = [(i, f"{body} {i // 21}\nfooter of a page", "a" if i < 21 else "b") for i in range(41)]
+    rows += [(100 + i, " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}{k}" for k in range(30)), "a") for i in range(2000)] + [(None, "no id at all " * 3, "c")] * 30 + [(7, rows[7][1], "a")] * 5
+    docs = spark.createDataFrame([(*r, True, "odd") for r in rows], "doc_id long, text string, source string, Kept boolean, CLEANED string").repartition(3)
+    done = quality_rules.apply_rules(docs, limits=quality_rules.Limits(documents=20, words=5, repeated_percent=100))
+    assert [c.lower() for c in done.columns].count("kept") == 1
+    lost = {r.doc_id for r in done.where("n_removed_words > 0").collect()}
+    assert lost == set(range(21))
+    assert done.where("kept AND source = 'b'").count() == 20 and done.where("kept AND source = 'a'").count() == 2000
+    assert done.where("kept AND doc_id IS NULL").count() == 30
+
+
 def test_tokens_equal_the_library():
     ranks = byte_bpe.read_ranks(RANKS)
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
