@@ -39,7 +39,7 @@ BITS = 1024
 #: Rows of a tile that are compared with each other at a time; larger tiles are cut.
 TILE = 512
 #: A shingle in so many sets of a slice is counted, and one in so many sets overall is common.
-COUNTED, COMMON = 4, 64
+COUNTED, COMMON = 4, 16
 #: Common shingles that are sent to all executors; the order of the others is as good, only slower.
 BROADCAST_SHINGLES = 1 << 17
 FILTER_WORDS = 1 << 17
@@ -163,10 +163,11 @@ def keyed(docs: DataFrame, common: np.ndarray, options: Options) -> DataFrame:
             pa.array([len(s) for s in sets], pa.int64()),
             pa.array([bitmap(s) for s in sets], pa.binary()),
             pa.array([fine(s) for s in sets], pa.binary()),
+            pa.array([fine(s, 1) if len(s) > BITS else b"" for s in sets], pa.binary()),
             lists(np.concatenate(keys).view(np.int64), np.array([len(k) for k in keys]), pa.int64()),
         ]
 
-    return each_set(docs, options.words, "name long, n long, bits binary, fine binary, keys array<long>", ["name", "n", "bits", "fine", "keys"], made, common)
+    return each_set(docs, options.words, "name long, n long, bits binary, fine binary, wide binary, keys array<long>", ["name", "n", "bits", "fine", "wide", "keys"], made, common)
 
 
 def shingles_of(docs: DataFrame, wanted: DataFrame, options: Options) -> DataFrame:
@@ -244,12 +245,12 @@ def open_pairs(rows: DataFrame, percent: int, few: bool) -> DataFrame:
 
     With ``few`` a row is paired with two others only: the first one before it, and the one with the
     highest bound on their similarity. That connects most of a group by a few pairs a member.
-    Otherwise rows have the key's ``rank`` in the order of their shingles, and a ``fine`` bitmap:
-    before their first shared key two sets share nothing, so what follows it bounds their overlap (a
-    pair that this bound excludes at a later key is held to its first one there), and the fine
-    bitmaps must allow it too. What many unlike sets share then makes no pairs.
+    Otherwise rows have the key's ``rank`` in the order of their shingles, and a ``wide`` bitmap where
+    the short one says little: before their first shared key two sets share nothing, so what follows
+    it bounds their overlap (a pair that this bound excludes at a later key is held to its first one),
+    and the wide bitmaps must allow it too. What many unlike sets share then makes hardly any pairs.
     """
-    more = () if few else ("rank", "fine")
+    more = () if few else ("rank", "wide")
 
     def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in whole_runs(batches, ("tile",)):
@@ -257,7 +258,7 @@ def open_pairs(rows: DataFrame, percent: int, few: bool) -> DataFrame:
             left, right = (block.column(c).to_numpy(zero_copy_only=False) for c in ("left", "right"))
             signatures = np.frombuffer(b"".join(block.column("bits").to_pylist()), np.uint64).reshape(len(names), -1)
             tile = block.column("tile").to_numpy()
-            rank, maps = (None, None) if few else (block.column("rank").to_numpy(), block.column("fine"))
+            rank, maps = (None, None) if few else (block.column("rank").to_numpy(), block.column("wide"))
             found, at, claimed = [], np.arange(len(names) - 1), np.zeros(len(names), bool)
             score, partner = np.zeros(len(names)), np.full(len(names), -1)
             for step in range(1, len(names)):
@@ -276,7 +277,8 @@ def open_pairs(rows: DataFrame, percent: int, few: bool) -> DataFrame:
                 if not few and len(i):
                     after = np.minimum(sizes[i] - rank[i], sizes[j] - rank[j])
                     near = (100 + percent) * after >= percent * (sizes[i] + sizes[j])
-                    near[near] = [may_match(maps[x].as_buffer(), maps[y].as_buffer(), int(sizes[x]), int(sizes[y]), percent) for x, y in zip(i[near].tolist(), j[near].tolist(), strict=True)]
+                    long = np.flatnonzero(near & (np.minimum(sizes[i], sizes[j]) > BITS))
+                    near[long] = [may_match(maps[x].as_buffer(), maps[y].as_buffer(), int(sizes[x]), int(sizes[y]), percent) for x, y in zip(i[long].tolist(), j[long].tolist(), strict=True)]
                     i, j = i[near], j[near]
                 if few:
                     rate = most / (sizes[i] + sizes[j])
@@ -312,9 +314,9 @@ def claim(claimed: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return new
 
 
-def fine(shingles: np.ndarray) -> bytes:
-    """A bitmap of about four bits a shingle or more, a power of two of them."""
-    size = max(256, 1 << (4 * len(shingles) - 1).bit_length())
+def fine(shingles: np.ndarray, bits: int = 4) -> bytes:
+    """A bitmap of so many bits a shingle or more, a power of two of them."""
+    size = max(256, 1 << (bits * len(shingles) - 1).bit_length())
     bits = np.bincount((shingles & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
     return np.packbits(bits.astype(bool)).tobytes()
 
@@ -385,8 +387,7 @@ def classes_of(docs: DataFrame, options: Options) -> tuple[DataFrame, DataFrame]
     def links_of(rows: DataFrame, few: bool) -> DataFrame:
         # Stored, as it is read twice and which pair comes first must not change between the reads.
         pairs = kept(open_pairs(tiles(rows, options.percent), options.percent, few), "likely-pairs")
-        if few:
-            pairs = kept(by_tile(pairs, classes.select("name", "n", F.col("fine").alias("value")).dropDuplicates(["name"]), may_match, options.percent, False), "set-pairs")
+        pairs = kept(by_tile(pairs, classes.select("name", "n", F.col("fine").alias("value")).dropDuplicates(["name"]), may_match, options.percent, False), "set-pairs")
         wanted = pairs.select(F.col("a").alias("name")).unionByName(pairs.select(F.col("b").alias("name"))).distinct()
         sets = shingles_of(docs, wanted, options).select("name", F.octet_length("shingles").cast("long").alias("bytes"), F.col("shingles").alias("value"))
         sets = sets.withColumn("n", F.expr("bytes div 8")).drop("bytes")
@@ -402,7 +403,7 @@ def classes_of(docs: DataFrame, options: Options) -> tuple[DataFrame, DataFrame]
     part: Column = F.coalesce("component", "name")
     placed = kept(open_keys.join(parts.withColumnRenamed("node", "name"), "name", "left").withColumn("component", part), "placed-keys")
     mixed_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    rest = placed.join(mixed_keys, "key").join(classes.select("name", "n", "bits", "fine").dropDuplicates(["name"]), "name")
+    rest = placed.join(mixed_keys, "key").join(classes.select("name", "n", "bits", "wide").dropDuplicates(["name"]), "name")
     ends = components(links.unionByName(links_of(rest, False)), "parts")
 
     known = rows.where("n IS NOT NULL")
