@@ -43,31 +43,27 @@ def _each_element(text: Column, name: str, rewrite) -> Column:
     return up_to_last(text, f"</{name}>", lambda t: replace_each(t, _element(name), rewrite))
 
 
-# Elements that are searched for with a closing tag and whose opening tag means nothing without one.
-_PAIRED = (*DROPPED.split("|"), "td", "th", "strong", "b", "em", "i", "a", "code", "li")
-_MANY_TAGS = 1000
-# A character that no text may hold; behind ``<`` it keeps a tag from being taken for a known one.
-_UNPAIRED = "<" + chr(0xFDD0)
+def _paired(text: Column, names: str, rewrite) -> Column:
+    """Apply ``rewrite`` to the text in which elements of several names can be, the opening tags that nothing closes renamed.
 
-
-def settle_unclosed(text: Column) -> Column:
-    """Disarm opening tags after the last closing tag of their name, which no pass can pair.
-
-    Each of them would else be searched for its end up to the end of the text. They stay tags
-    and vanish with the others, so results are the same; texts of few tags are left alone.
+    The text ends with the last closing tag of any of the names. Where another name's last one lies
+    before it, opening tags of that name behind it can't be paired and would each be searched for
+    their end: they get a name that no pass knows and vanish with the other tags. Results are those
+    of the pattern over the whole text. Pass a column or a bound value.
     """
 
-    def one(t: Column, name: Column) -> Column:
-        last = F.concat(F.lit(r"(?is)\A.*</"), name, F.lit(">"))
-        opening = F.concat(F.lit("(?i)<(?="), name, F.lit(f"{WORD_END})"))
+    def settled(t: Column, name: Column) -> Column:
+        closing = F.concat(F.lit(r"(?is)\A.*</"), name, F.lit(">"))
+        opening = F.concat(F.lit("(?i)<"), name, F.lit(f"(?={WORD_END}[^>]*>)"))
         return let(
-            F.coalesce(F.regexp_substr(t, last), F.lit("")),
-            lambda head: F.concat(head, F.regexp_replace(F.substr(t, F.length(head) + 1), opening, F.lit(_UNPAIRED))),
+            F.coalesce(F.regexp_substr(t, closing), F.lit("")),
+            lambda head: F.when(F.length(head) == F.length(t), t).otherwise(
+                F.concat(head, F.regexp_replace(F.substr(t, F.length(head) + 1), opening, F.lit("<-")))
+            ),
         )
 
-    tags = F.length(text) - F.length(F.replace(text, F.lit("<"), F.lit("")))
-    names = F.expr("array(" + ", ".join(f"'{n}'" for n in _PAIRED) + ")")
-    return F.when(tags > _MANY_TAGS, F.aggregate(names, text, one)).otherwise(text)
+    each = F.array(*(F.lit(n) for n in names.split("|")))
+    return up_to_last(text, f"</(?:{names})>", lambda head: let(F.aggregate(each, head, settled), rewrite))
 
 
 def _closed(body: Column, closing: str) -> Column:
@@ -78,7 +74,7 @@ def _closed(body: Column, closing: str) -> Column:
 def html_drop_blocks(text: Column) -> Column:
     """Pass 1: comments, then elements whose content is not text."""
     t = up_to_last(text, "-->", lambda h: F.regexp_replace(h, "(?s)<!--.*?-->", ""))
-    return F.regexp_replace(t, _either(DROPPED), "")
+    return let(t, lambda kept: _paired(kept, DROPPED, lambda head: F.regexp_replace(head, _either(DROPPED), "")))
 
 
 def html_breaks(text: Column) -> Column:
@@ -87,6 +83,14 @@ def html_breaks(text: Column) -> Column:
     return F.regexp_replace(t, f"(?i)<hr{WS}*/?>", "\n\n---\n\n")
 
 
+def _cells(row: Column) -> Column:
+    """Inner markup of the cells of a row."""
+    return let(
+        _paired(_closed(row, "</t[dh]>"), "td|th", lambda head: head),
+        lambda head: F.regexp_extract_all(head, F.lit(_either("td|th")), F.lit(2)),
+    )
+
+
 def html_tables(text: Column) -> Column:
     """Pass 3: tables to pipe tables; a table without cells disappears."""
 
@@ -94,9 +98,7 @@ def html_tables(text: Column) -> Column:
         rows = F.filter(
             F.transform(
                 F.regexp_extract_all(_closed(body, "</tr>"), F.lit(_element("tr")), F.lit(1)),
-                lambda tr: F.transform(
-                    F.regexp_extract_all(_closed(tr, "</t[dh]>"), F.lit(_either("td|th")), F.lit(2)), inline_text
-                ),
+                lambda tr: F.transform(_cells(tr), inline_text),
             ),
             lambda cells: F.size(cells) > 0,
         )
@@ -203,7 +205,7 @@ def html_links(text: Column) -> Column:
 
 def html_emphasis(text: Column, names: str, mark: str) -> Column:
     """Pass 9c: one kind of emphasis."""
-    return up_to_last(text, f"</(?:{names})>", lambda head: _marked(head, names, mark))
+    return _paired(text, names, lambda head: _marked(head, names, mark))
 
 
 def html_code(text: Column) -> Column:
@@ -222,13 +224,11 @@ INLINE_PASSES = (
 
 def inline_text(text: Column) -> Column:
     """Inner markup of one element as a single line. Pass a column or a bound value."""
-    marked = _code(_marked(_marked(_images(_links(text)), STRONG, "**"), EMPHASIS, "*"))
-    plain = F.when(F.contains(text, F.lit("<")), strip_tags(marked)).otherwise(text)
+    plain = F.when(F.contains(text, F.lit("<")), in_turn(text, INLINE_PASSES)).otherwise(text)
     return js_trim(F.regexp_replace(let(plain, decode_entities), f"{WS}+", " "))
 
 
 HTML_PASSES = (
-    settle_unclosed,
     html_drop_blocks,
     html_breaks,
     html_tables,

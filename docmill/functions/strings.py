@@ -106,6 +106,35 @@ def strip_bom(text: Column) -> Column:
     return F.regexp_replace(text, r"\A\x{FEFF}", "")
 
 
+def closed_part(text: Column, closing: str) -> Column:
+    """The text up to its last ``closing``, empty without one; elements that it closes lie within."""
+    return F.coalesce(F.regexp_substr(text, F.lit(rf"(?s)\A.*{closing}")), F.lit(""))
+
+
+def closed_elements(text: Column, pattern: str, closing: str, group: int = 1) -> Column:
+    """All matches of an element's pattern that ends with ``closing``.
+
+    Every opening tag before the last closing one finds an end and the search goes on behind it;
+    those after it are not tried, so a text takes one pass however many tags it leaves open.
+    """
+    return F.regexp_extract_all(closed_part(text, closing), F.lit(pattern), F.lit(group))
+
+
+def elements_or_marks(text: Column, pattern: str, marks: str, closing: str) -> Column:
+    """Matches of ``pattern``, elements that end with ``closing`` or ``marks`` without one, in order."""
+
+    def both(t: Column) -> Column:
+        return let(
+            closed_part(t, closing),
+            lambda head: F.concat(
+                F.regexp_extract_all(head, F.lit(pattern), F.lit(0)),
+                F.regexp_extract_all(F.substr(t, F.length(head) + 1), F.lit(marks), F.lit(0)),
+            ),
+        )
+
+    return let(text, both)
+
+
 def strip_tags(text: Column) -> Column:
     return F.regexp_replace(text, "<[^>]+>", "")
 
