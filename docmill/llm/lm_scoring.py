@@ -314,11 +314,12 @@ class Trainer:
         self.seen = {k: np.full_like(getattr(self.m, k), 0.1) for k in Model.NAMES}
 
     @staticmethod
-    def gathered(index: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        out = np.empty((SYMBOLS, rows.shape[1]), np.float32)
-        for i in range(rows.shape[1]):
-            out[:, i] = np.bincount(index, rows[:, i], SYMBOLS)
-        return out
+    def gathered(index: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols at hand and the sums of their rows."""
+        order = np.argsort(index)
+        index = index[order]
+        first = np.flatnonzero(np.append(True, index[1:] != index[:-1]))
+        return index[first], np.add.reduceat(rows[order], first, axis=0)
 
     def step(self, far: np.ndarray, near: np.ndarray, word: np.ndarray) -> None:
         m, size = self.m, len(word)
@@ -330,15 +331,16 @@ class Trainer:
         up = 1 - sigmoid(np.einsum("ij,ij->i", hidden, t) + (m.bias - shift)[word])
         down = sigmoid(hidden @ q.T + (m.bias - shift)[noise])
         g_hidden = up[:, None] * t - down @ q
-        target, bias = self.gathered(word, up[:, None] * hidden), np.bincount(word, up, SYMBOLS).astype(np.float32)
-        np.subtract.at(target, noise, down.T @ hidden)
+        words, target = self.gathered(np.concatenate([word, noise]), np.concatenate([up[:, None] * hidden, -(down.T @ hidden)]))
+        bias = np.bincount(word, up, SYMBOLS).astype(np.float32)
         np.subtract.at(bias, noise, down.sum(0))
-        context = self.gathered(near, g_hidden @ m.near.T) + self.gathered(far, g_hidden @ m.far.T)
-        for k, g in (("context", context), ("target", target), ("near", n.T @ g_hidden), ("far", f.T @ g_hidden), ("bias", bias)):
+        around, context = self.gathered(np.concatenate([near, far]), np.concatenate([g_hidden @ m.near.T, g_hidden @ m.far.T]))
+        all_ = slice(None)
+        for k, at, g in (("context", around, context), ("target", words, target), ("near", all_, n.T @ g_hidden), ("far", all_, f.T @ g_hidden), ("bias", all_, bias)):
             g = g / np.float32(np.sqrt(size))
-            self.seen[k] += g * g
-            values = getattr(m, k)
-            values += np.float32(self.rate) * g / np.sqrt(self.seen[k])
+            seen = self.seen[k][at] + g * g
+            self.seen[k][at] = seen
+            getattr(m, k)[at] += np.float32(self.rate) * g / np.sqrt(seen)
 
 
 def trained(encoded: DataFrame, vocab: Vocabulary, options: Options) -> Model:
@@ -419,52 +421,59 @@ class Tree:
         left, right = sums[0::2][:width], sums[1::2][:width]
         self.live = (left > 0) & (right > 0)
         self.live[0] = False
-        self.bias = np.where(self.live, np.log(np.maximum(left, NOTHING)) - np.log(np.maximum(right, NOTHING)), 0.0).astype(np.float32)
+        bias = np.where(self.live, np.log(np.maximum(left, NOTHING)) - np.log(np.maximum(right, NOTHING)), 0.0)
         self.start = np.log(np.maximum(counts, NOTHING) / max(counts.sum(), 1))
-        self.vectors = np.zeros((width, size), np.float32)
+        #: Vector and bias of every node, side by side, as hidden vectors end with a one.
+        self.units = np.concatenate([np.zeros((width, size)), bias[:, None]], axis=1).astype(np.float32)
         self.seen = np.ones((width, size + 1), np.float32)
         self.visits = np.zeros(width)
 
-    def at(self, level: int, hidden: np.ndarray, leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The nodes of a level above the leaves, whether the right side is taken, and the score of the left one."""
-        node = (1 << level) + (leaves >> (self.depth - level))
-        right = (leaves >> (self.depth - level - 1) & 1).astype(bool)
-        return node, right, np.einsum("ij,ij->i", hidden, self.vectors[node]) + self.bias[node]
+    def at(self, level: int, leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The nodes of a level above the leaves, and whether the right side is taken."""
+        return (1 << level) + (leaves >> (self.depth - level)), (leaves >> (self.depth - level - 1) & 1).astype(bool)
 
     def gain(self, hidden: np.ndarray, leaves: np.ndarray) -> np.ndarray:
-        """What the contexts add to the log of the words' shares of the symbol."""
-        total = np.zeros(len(leaves))
+        """What the contexts add to the log of the words' shares of the symbol; ``hidden`` ends with a one."""
+        total, product = np.zeros(len(leaves)), np.ones(len(leaves))
         for level in range(self.depth):
-            node, right, score = self.at(level, hidden, leaves)
-            total -= np.where(self.live[node], np.logaddexp(0, np.where(right, score, -score)), 0)
+            node, right = self.at(level, leaves)
+            score = np.einsum("ij,ij->i", hidden, self.units[node])
+            score[~right] *= -1
+            each = 1 + np.exp(np.clip(score, -30, 30))
+            each[~self.live[node]] = 1
+            product *= each
+            if level % 16 == 15 or level == self.depth - 1:  # at most 16 factors of e^30 before a logarithm
+                total -= np.log(product)
+                product[:] = 1
         return total - self.start[leaves]
 
     def step(self, hidden: np.ndarray, leaves: np.ndarray, rate: float) -> None:
         """One Adagrad step of all nodes above the leaves, which are sorted, on the logistic loss."""
         for level in range(self.depth):
-            node, right, score = self.at(level, hidden, leaves)
-            up = np.where(self.live[node], ~right - 1 / (1 + np.exp(-np.clip(score, -30, 30))), 0).astype(np.float32)
+            node, right = self.at(level, leaves)
             first = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
             times = np.diff(np.append(first, len(node)))
-            g = np.add.reduceat(np.concatenate([hidden * up[:, None], up[:, None]], axis=1), first, axis=0)
+            nodes = node[first]
+            units = self.units[nodes]
+            score = np.einsum("ij,ij->i", hidden, np.repeat(units, times, axis=0) if len(nodes) > 1 else np.broadcast_to(units, hidden.shape))
+            up = ~right - 1 / (1 + np.exp(-np.clip(score, -30, 30)))
+            up[~self.live[node]] = 0
+            g = np.add.reduceat(hidden * up[:, None], first, axis=0)
             g /= np.sqrt(times, dtype=np.float32)[:, None]
-            node = node[first]
-            self.seen[node] += g * g
-            g *= np.float32(rate) / np.sqrt(self.seen[node])
-            self.vectors[node] += g[:, :-1]
-            self.bias[node] += g[:, -1]
-            self.visits[node] += times
+            seen = self.seen[nodes] + g * g
+            self.seen[nodes] = seen
+            self.units[nodes] = units + np.float32(rate) * g / np.sqrt(seen)
+            self.visits[nodes] += times
 
     def flat(self) -> np.ndarray:
-        """Visits of every node, and its bias and vector times these."""
-        return np.concatenate([self.visits[:, None], self.visits[:, None] * self.bias[:, None], self.visits[:, None] * self.vectors], axis=1)
+        """Visits of every node, and its vector and bias times these."""
+        return np.concatenate([self.visits[:, None], self.visits[:, None] * self.units], axis=1)
 
     def fill(self, first: int, sums: np.ndarray) -> None:
         """Means of the nodes from ``first``, from sums of ``flat``; nodes without visits stay."""
-        sums = sums.reshape(-1, self.vectors.shape[1] + 2)
+        sums = sums.reshape(-1, self.units.shape[1] + 1)
         node = first + np.flatnonzero(sums[:, 0])
-        means = sums[node - first, 1:] / sums[node - first, :1]
-        self.bias[node], self.vectors[node] = means[:, 0], means[:, 1:]
+        self.units[node] = sums[node - first, 1:] / sums[node - first, :1]
 
 
 def packed(*arrays: np.ndarray) -> bytes:
@@ -476,7 +485,8 @@ def tree_gains(encoded: DataFrame, counts: DataFrame, vocab: Vocabulary, model:
     spark = encoded.sparkSession
     parts = np.maximum(1, -(-vocab.bucket_tokens.astype(np.int64) // PART_TOKENS))
     firsts = np.cumsum(parts) - parts
-    sent = send(spark, (vocab.keys, model.context @ model.near, model.context @ model.far))
+    one, zero_at = np.ones((SYMBOLS, 1), np.float32), np.zeros((SYMBOLS, 1), np.float32)
+    sent = send(spark, (vocab.keys, np.hstack([model.context @ model.near, one]), np.hstack([model.context @ model.far, zero_at])))
     token = np.dtype([("key", np.uint64), ("row", np.int64), ("far", np.int16), ("near", np.int16), ("held_out", bool)])
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -542,7 +552,7 @@ def tree_gains(encoded: DataFrame, counts: DataFrame, vocab: Vocabulary, model:
                 leaves = np.minimum(np.searchsorted(words, tokens["key"]), len(words) - 1)
                 known = words[leaves] == tokens["key"]
                 tokens, leaves = tokens[known], leaves[known]
-                tree = Tree(times.astype(np.float64), near_part.shape[1])
+                tree = Tree(times.astype(np.float64), near_part.shape[1] - 1)
                 hidden = lambda at, tokens=tokens: near_part[tokens["near"][at]] + far_part[tokens["far"][at]]
                 if ready:
                     for i in np.flatnonzero(turn == 1).tolist():

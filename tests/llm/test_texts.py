@@ -80,9 +80,9 @@ def test_trees_give_probabilities():
     for n in (1, 2, 5, 8, 13):
         counts = r.integers(1, 9, n).astype(float)
         tree, every = lm_scoring.Tree(counts, 4), np.arange(n)
-        assert np.allclose(tree.gain(np.zeros((n, 4), np.float32), every), 0, atol=1e-5)
-        tree.vectors[:], tree.bias[:] = r.normal(size=tree.vectors.shape), r.normal(size=tree.bias.shape)
-        hidden = np.repeat(r.normal(size=(1, 4)).astype(np.float32), n, axis=0)
+        assert np.allclose(tree.gain(np.repeat([[0, 0, 0, 0, 1]], n, axis=0).astype(np.float32), every), 0, atol=1e-5)
+        tree.units[:] = r.normal(size=tree.units.shape)
+        hidden = np.repeat(np.append(r.normal(size=(1, 4)), [[1]], axis=1).astype(np.float32), n, axis=0)
         assert math.isclose((np.exp(tree.gain(hidden, every)) * counts / counts.sum()).sum(), 1, rel_tol=1e-5)
 
 
