@@ -93,7 +93,7 @@ def pretty_json(text: Column) -> Column:
             return surrogate.sub(lambda m: f"\\u{ord(m.group()):04x}", quoted)
 
         def index_key(k):
-            return k.isascii() and k.isdigit() and (k == "0" or k[0] != "0") and int(k) < 2**32 - 1
+            return len(k) <= 10 and k.isascii() and k.isdigit() and (k == "0" or k[0] != "0") and int(k) < 2**32 - 1
 
         def scalar(value):
             if isinstance(value, str):
