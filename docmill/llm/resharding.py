@@ -7,7 +7,8 @@ the flow. Then the files of the shards that lose or gain blocks are written anew
 
 Defined cases: a null text has no bytes and its crc32 is that of nothing; every row counts its
 text's UTF-8 bytes plus one, so sizes never vanish; repeated rows are kept and get slots of their
-own; an empty table gives no rows and no moves. Other columns pass through ``rewritten``.
+own; rows whose old shard is null are in shard NO_SHARD, from which all rows move; an empty table
+gives no rows and no moves. Other columns pass through ``rewritten``.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from docmill.llm.shared import kept
 from docmill.plans.storage import shared_folder
 
 BLOCKS = 2048
+#: Old shard of rows that are in none.
+NO_SHARD = -1
 
 
 def least_cost_flow(supply: list[int], demand: list[int], cost: list[list[int]]) -> list[list[int]]:
@@ -92,7 +95,7 @@ def sized(docs: DataFrame, old: Column, blocks: int = BLOCKS) -> DataFrame:
         "*",
         (F.octet_length(text).cast("long") + 1).alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        old.cast("int").alias("old_shard"),
+        F.coalesce(old.cast("int"), F.lit(NO_SHARD)).alias("old_shard"),
         F.pmod(F.xxhash64("doc_id", text), F.lit(blocks)).cast("int").alias("block"),
     )
 

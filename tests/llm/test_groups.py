@@ -191,6 +191,18 @@ def test_table_distances_and_errors():
     assert (far <= true + error + 1e-6).all() and (far >= true - error - 1e-6).all()
 
 
+def test_rows_without_an_old_shard_move(spark):
+    docs = spark.createDataFrame([(i, "x" * 9, None if i % 3 else i % 2) for i in range(90)], "doc_id long, text string, at int")
+    rows = resharding.reshard(docs, F.col("at"), 2).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(90))
+    assert {r.old_shard for r in rows} == {resharding.NO_SHARD, 0, 1}
+    for shard in (0, 1):
+        assert sorted(r.slot for r in rows if r.shard == shard) == list(range(45))
+    assert all(r.shard == r.old_shard for r in rows if r.old_shard >= 0)
+    none = resharding.reshard(docs, F.lit(None).cast("int"), 2).collect()
+    assert len(none) == 90 and {r.old_shard for r in none} == {resharding.NO_SHARD}
+
+
 def join_by_hand(rows, words, percent):
     sets = {}
     for i, t, *_ in rows:
