@@ -13,7 +13,9 @@ many ask, are cut into tiles by a hash, and all tiles are compared.
 
 Defined cases: a null label, and a vector that is null, empty, zero or holds null or non-finite
 components links with nothing; vectors of different lengths are never linked; repeated rows are
-copies and link with each other; an empty table gives no rows. Other columns are ignored.
+copies and link with each other; an empty table gives no rows. A null vec_id links like any other
+and counts as the largest: a component where no vector has an id has null as its id, and all of its
+rows are kept. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +36,8 @@ PARTS, CODES = 8, 256
 #: Vectors of a tile on either side.
 TILE = 2048
 SLACK = 1e-6
+#: Most numbers of the vectors that codebooks are fitted on, and of those placed at a time.
+SAMPLE_NUMBERS, SLICE_NUMBERS = 1 << 26, 1 << 20
 
 
 @dataclass(frozen=True)
@@ -136,20 +141,23 @@ def indexed(classes: DataFrame, options: Options) -> tuple[DataFrame, Index | No
     if not facts.n:
         return classes, None, 0
     width = -(-facts.width // PARTS) * PARTS
-    chosen = classes.orderBy(F.xxhash64("id"), "id").limit(options.sample).select("vector").toArrow()
+    sample = min(options.sample, max(2 * options.probes, SAMPLE_NUMBERS // width, 1))
+    chosen = classes.orderBy(F.xxhash64("id"), "id").limit(sample).select("vector").toArrow()
     index = Index(units(chosen.column("vector").combine_chunks(), width), -(-facts.n // options.list_length), options)
     sent = send(classes.sparkSession, index)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = received(sent)
+        step = max(1, min(1024, SLICE_NUMBERS // index.width))
         for whole in batches:
-            for at in range(0, whole.num_rows, 1024):
-                batch = whole.slice(at, 1024)
+            for at in range(0, whole.num_rows, step):
+                batch = whole.slice(at, step)
                 points = units(batch.column("vector"), index.width)
                 cells = index.cells(points, options.probes)
                 codes, error = index.encode(points, cells[:, 0])
                 asked = [[c for c in row if c >= 0] for row in cells.tolist()]
-                columns = [batch.column("id"), batch.column("family"), pa.array(cells[:, 0]), pa.array(asked, pa.list_(pa.int64())), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error), pa.array([p.tobytes() for p in points], pa.binary())]
+                sizes = pc.list_value_length(batch.column("vector")).to_pylist()
+                columns = [batch.column("id"), batch.column("family"), pa.array(cells[:, 0]), pa.array(asked, pa.list_(pa.int64())), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error), pa.array([p[:n].tobytes() for p, n in zip(points, sizes, strict=True)], pa.binary())]
                 yield pa.record_batch(columns, ["id", "family", "cell", "asked", "codes", "error", "point"])
 
     family = F.xxhash64(F.col("label"), F.size("vector")).alias("family")
@@ -185,7 +193,7 @@ def near_pairs(rows: DataFrame, index: Index, options: Options) -> DataFrame:
             reach = radius + tile.column("error").to_numpy()[there]
             for at in range(0, len(ask), 256):
                 some = ask[at : at + 256]
-                far = index.distances(points[some], tile.column("cell")[0].as_py(), codes)
+                far = index.distances(np.pad(points[some], ((0, 0), (0, index.width - points.shape[1]))), tile.column("cell")[0].as_py(), codes)
                 x, y = np.nonzero(far <= reach**2)
                 x, y = some[x], there[y]
                 for i in range(0, len(x), 1 << 14):
@@ -203,7 +211,7 @@ def near_duplicates(vectors: DataFrame, vector: str = "embedding", options: Opti
     """``vectors(vec_id, <vector>, label)`` to one row per vector: n_links, component_id, kept."""
     rows = vectors.select("vec_id", "label", F.col(vector).alias("vector"))
     good = usable(F.col("vector"), F.col("label"))
-    classes = kept(rows.where(good).groupBy("label", "vector").agg(F.min("vec_id").alias("id"), F.count("*").alias("n")), "vector-classes")
+    classes = kept(rows.where(good).groupBy("label", "vector").agg(F.coalesce(F.min("vec_id"), F.xxhash64("label", "vector")).alias("id"), F.min("vec_id").alias("least"), F.count("*").alias("n")), "vector-classes")
     placed, index, n = indexed(classes, options)
     if n:
         links = kept(near_pairs(placed, index, options), "vector-links")
@@ -213,6 +221,11 @@ def near_duplicates(vectors: DataFrame, vector: str = "embedding", options: Opti
         known = classes.join(other, "id", "left").join(ends, "id", "left")
     else:
         known = classes.withColumn("more", F.lit(0).cast("long")).withColumn("component", F.col("id"))
+    if not classes.where("least IS NULL").isEmpty():
+        # Classes without an id went by a hash of the vector; components are named by ids alone.
+        part = F.coalesce("component", "id")
+        names = known.groupBy(part.alias("component")).agg(F.min("least").alias("name"))
+        known = known.withColumn("component", part).join(names, "component").drop("id", "component").withColumns({"id": F.col("name"), "component": F.col("name")})
     known = kept(known.select("label", "vector", (F.col("n") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"), F.coalesce("component", "id").alias("component_id")), "vector-results")
     linked = rows.where(good).join(known, ["label", "vector"]).select("vec_id", "n_links", "component_id")
     alone = rows.where(~good).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))

@@ -176,6 +176,18 @@ def test_vectors(spark):
     assert product_quantisation.near_duplicates(frame.where("vec_id < 0")).count() == 0
 
 
+def test_vectors_without_an_id_and_of_many_lengths(spark):
+    near = [1.0, 0.01, 0.0]
+    rows = [(None, [1.0, 0.0, 0.0], 1), (None, [1.0, 0.0, 0.0], 1), (None, near, 2), (7, [1.0, 0.0, 0.0], 2), (None, [0.0, 5.0, 0.0], 3)]
+    rows += [(8, [1.0] * 3000, 4), (9, [1.0] * 2999 + [1.01], 4), (10, [1.0] * 3, 4), (None, None, 4)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = product_quantisation.near_duplicates(frame).collect()
+    found = Counter((r.vec_id, r.n_links, r.component_id, r.kept) for r in got)
+    assert found == Counter({(None, 1, None, True): 2, (None, 1, 7, False): 1, (7, 1, 7, True): 1, (None, 0, None, True): 2, (8, 1, 8, True): 1, (9, 1, 8, False): 1, (10, 0, 10, True): 1})
+    only = product_quantisation.near_duplicates(frame.where("vec_id IS NULL AND label = 1")).collect()
+    assert [(r.vec_id, r.n_links, r.component_id, r.kept) for r in only] == [(None, 1, None, True)] * 2
+
+
 def test_table_distances_and_errors():
     r = np.random.default_rng(1)
     points = r.normal(size=(500, 16))

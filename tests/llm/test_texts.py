@@ -357,6 +357,47 @@ def test_records_gzipped_one_by_one(spark, tmp_path):
     assert done["<lost>"].capture is None and done["<lost>"].n_requests == 1
 
 
+def test_broken_archives_cost_their_own_records_only(spark, tmp_path):
+    def one(name, block=b"hello", length=None, kind="resource"):
+        size = "" if length == "" else f"Content-Length: {len(block) if length is None else length}\r\n"
+        return f"WARC/1.1\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <{name}>\r\n{size}\r\n".encode() + block + b"\r\n\r\n"
+
+    big = bytes(range(256)) * 1000
+    cases = {
+        "length.warc": one("a") + one("b", length="") + one("c", length="x") + one("d"),
+        "noise.warc": b"noise\r\n\r\n" + one("e") + b"more noise\r\n" + one("f", big),
+        "header.warc": one("g") + b"WARC/1.1\r\nWARC-Type: resour\r\n" + one("h") + b"WARC/1.1\r\nWARC-Ty",
+        "short.warc": one("i", length=2) + one("j"),
+        "cut.warc": one("k") + one("l")[:-6],
+        "empty.warc": b"",
+        "other.warc": b"\x00\x01" * 40_000,
+        "members.warc.gz": gzip.compress(one("m")) + gzip.compress(one("n", big))[:-300] + gzip.compress(one("o")),
+        "tail.warc.gz": gzip.compress(one("p") + one("q")) + b"xyz",
+        "bent.warc.gz": gzip.compress(one("r")) + b"\x1f\x8b\x08\x00junk that is no member" + gzip.compress(one("s")),
+        "padded.warc.gz": gzip.compress(one("t")) + b"\0" * 1000,
+    }
+    for name, data in cases.items():
+        (tmp_path / name).write_bytes(data)
+    rows = warc.read_records(spark, str(tmp_path)).collect()
+    good = {r.record_id.strip("<>"): r.payload_bytes for r in rows if r.status == "ok"}
+    assert set(good) >= set("adefghijkmopqrst") and good["f"] == len(big) and good["i"] == 2 and good["a"] == 5
+    rest = Counter((r.status, (r.record_id or "").strip("<>"), r.file.rpartition("/")[2]) for r in rows if r.status not in ("ok", "skipped"))
+    assert rest[("no_length", "b", "length.warc")] == rest[("no_length", "c", "length.warc")] == rest[("cut", "l", "cut.warc")] == 1
+    assert not {"l", "n"} & set(good)
+    lost = {r.file.rpartition("/")[2]: r for r in rows if r.status == "skipped"}
+    assert set(lost) >= {"length.warc", "noise.warc", "header.warc", "short.warc", "other.warc"} and not {"empty.warc", "padded.warc.gz"} & {r.file.rpartition("/")[2] for r in rows if r.status != "ok"}
+    assert lost["other.warc"].payload_bytes == 80_000 and lost["other.warc"].block is None
+    assert {r.capture_id for r in warc.assemble(warc.read_records(spark, str(tmp_path))).collect()} == {f"<{c}>" for c in good}
+
+
+@pytest.mark.parametrize("step", [1, 2, 3, 7, 1 << 16])
+def test_records_do_not_depend_on_pieces(step):
+    data = b"x\r\n" + b"".join(b"WARC/1.1\r\nA: %d\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (i, i, b"\n" * i) for i in range(9)) + b"WARC/1.1\r\nContent-Length: 9\r\n\r\nend"
+    got = list(warc.parsed(data[at : at + step] for at in range(0, len(data), step)))
+    assert [s for _, _, s in got] == ["skipped 3"] + ["ok"] * 9 + ["cut"]
+    assert [b for _, b, _ in got[1:]] == [b"\n" * i for i in range(9)] + [b"end"]
+
+
 def test_the_shape_of_a_long_word_is_that_of_all_of_it():
     field = pii.Field()
     found = []
