@@ -49,6 +49,8 @@ CHUNK = 4096
 #: Tokens of a rare symbol that one task trains on; with more of them its tree is trained in several.
 PART_TOKENS = 1 << 22
 NOTHING = 1e-30
+#: Levels of a tree whose scores are one matrix product.
+TOP = 6
 
 
 @dataclass(frozen=True)
@@ -432,38 +434,56 @@ class Tree:
         """The nodes of a level above the leaves, and whether the right side is taken."""
         return (1 << level) + (leaves >> (self.depth - level)), (leaves >> (self.depth - level - 1) & 1).astype(bool)
 
+    def top(self, hidden: np.ndarray, leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Node, side and score on each of the first levels, whose few units are one matrix."""
+        level = np.arange(min(TOP, self.depth))
+        node = (1 << level) + (leaves[:, None] >> (self.depth - level))
+        right = (leaves[:, None] >> (self.depth - level - 1) & 1).astype(bool)
+        return node, right, np.take_along_axis(hidden @ self.units[: 1 << len(level)].T, node, 1)
+
     def gain(self, hidden: np.ndarray, leaves: np.ndarray) -> np.ndarray:
         """What the contexts add to the log of the words' shares of the symbol; ``hidden`` ends with a one."""
         total, product = np.zeros(len(leaves)), np.ones(len(leaves))
-        for level in range(self.depth):
+        for i in range(0, len(leaves), 1 << 13):
+            at = slice(i, i + (1 << 13))
+            node, right, score = self.top(hidden[at], leaves[at])
+            each = 1 + np.exp(np.clip(np.where(right, score, -score), -30, 30))
+            product[at] = np.where(self.live[node], each, 1).prod(1, dtype=np.float64)
+        for level in range(min(TOP, self.depth), self.depth):
             node, right = self.at(level, leaves)
             score = np.einsum("ij,ij->i", hidden, self.units[node])
             score[~right] *= -1
             each = 1 + np.exp(np.clip(score, -30, 30))
             each[~self.live[node]] = 1
             product *= each
-            if level % 16 == 15 or level == self.depth - 1:  # at most 16 factors of e^30 before a logarithm
+            if level % 16 == 15:  # at most 16 factors of e^30 before a logarithm
                 total -= np.log(product)
                 product[:] = 1
-        return total - self.start[leaves]
+        return total - np.log(product) - self.start[leaves]
 
     def step(self, hidden: np.ndarray, leaves: np.ndarray, rate: float) -> None:
         """One Adagrad step of all nodes above the leaves, which are sorted, on the logistic loss."""
-        for level in range(self.depth):
+        sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+        node, right, score = self.top(hidden, leaves)
+        if node.shape[1]:
+            up = np.zeros((len(leaves), 1 << node.shape[1]), np.float32)
+            np.put_along_axis(up, node, np.where(self.live[node], ~right - sigmoid(score), 0), 1)
+            times = np.bincount(node.ravel(), minlength=up.shape[1])
+            nodes = np.flatnonzero(times)
+            self.learn(nodes, (up.T @ hidden)[nodes], times[nodes], rate)
+        for level in range(node.shape[1], self.depth):
             node, right = self.at(level, leaves)
             first = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
-            times = np.diff(np.append(first, len(node)))
-            nodes = node[first]
-            units = self.units[nodes]
-            score = np.einsum("ij,ij->i", hidden, np.repeat(units, times, axis=0) if len(nodes) > 1 else np.broadcast_to(units, hidden.shape))
-            up = ~right - 1 / (1 + np.exp(-np.clip(score, -30, 30)))
+            up = ~right - sigmoid(np.einsum("ij,ij->i", hidden, self.units[node]))
             up[~self.live[node]] = 0
-            g = np.add.reduceat(hidden * up[:, None], first, axis=0)
-            g /= np.sqrt(times, dtype=np.float32)[:, None]
-            seen = self.seen[nodes] + g * g
-            self.seen[nodes] = seen
-            self.units[nodes] = units + np.float32(rate) * g / np.sqrt(seen)
-            self.visits[nodes] += times
+            self.learn(node[first], np.add.reduceat(hidden * up[:, None], first, axis=0), np.diff(np.append(first, len(node))), rate)
+
+    def learn(self, nodes: np.ndarray, g: np.ndarray, times: np.ndarray, rate: float) -> None:
+        g = g / np.sqrt(times, dtype=np.float32)[:, None]
+        seen = self.seen[nodes] + g * g
+        self.seen[nodes] = seen
+        self.units[nodes] += np.float32(rate) * g / np.sqrt(seen)
+        self.visits[nodes] += times
 
     def flat(self) -> np.ndarray:
         """Visits of every node, and its vector and bias times these."""
