@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from docmill.functions import entities, html, names, strings, tables
 from docmill.operators import assemble, ebook, engines, notebook, plain, results, routing, sheets, slides, word
-from docmill.options import ENGINES
+from docmill.options import ENGINES, ConvertOptions
 from docmill.plans import sources as S
 from docmill.plans import write
-from docmill.plans.convert import convert_documents
+from docmill.plans.convert import convert_documents, convert_inputs
 from docmill.plans.storage import shared_folder, stored
 from docmill.sources import archive, delimited, files, inputs, responses
 from docmill.streaming.documents import stream_documents
@@ -152,13 +152,14 @@ def scan_delimited(spark, folder):
         F.col("c_name"),
         F.lit(', ""'),
         F.col("c_mktsegment"),
+        F.when(key % 3 == 0, F.lit("\n\nend")).otherwise(F.lit("")),
         F.lit('"""'),
         F.when(key % 7 == 0, F.lit("")).when(key % 7 == 1, F.lit(",,")).when(key % 7 == 2, F.lit(',"z"w,'))
         .otherwise(F.concat(F.lit(",,x"), S.word(F.col("c_nationkey")))),
     )
     path = shared_folder(spark, "delimited")
     S.table(spark, folder, "customer").select(line.alias("line")).write.text(path)
-    found = delimited.scan_delimited(spark, path, multiline=False)
+    found = delimited.scan_delimited(spark, path)
     return found.select(
         F.get("cells", F.lit(0)).cast("bigint").alias("c_custkey"),
         F.size("cells").cast("bigint").alias("n_cells"),
@@ -589,6 +590,33 @@ def convert_documents_query(spark, folder):
 
 
 
+@query
+def convert_inputs_query(spark, folder):
+    path = shared_folder(spark, "landing")
+    S.landed(S.pages(spark, folder), "page_id", "html", path)
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    named = listed.select(
+        F.regexp_extract("path", PAGE_KEY, 1).cast("bigint").alias("page_id"), F.regexp_replace("path", r"\Afile:/+", "/").alias("path")
+    )
+    key, file = F.col("doc_id"), F.col("path")
+    tail = F.regexp_extract(file, r"([^/]+/[^/]+)\z", 1)
+    folder_of = F.regexp_extract(file, r"\A(.*/)[^/]+/[^/]+\z", 1)
+    given = [
+        F.concat(F.lit(" "), file, F.lit("\t")),
+        F.when(F.startswith(file, F.lit("/")), F.concat(F.lit("file://"), F.replace(file, F.lit("="), F.lit("%3D")))).otherwise(file),
+        F.concat(folder_of, F.lit("x/.././/"), tail),
+        F.regexp_extract(file, r"\A(.*/)[^/]+\z", 1),
+        F.lit(" "),
+        F.concat(folder_of, F.lit("none/"), key),
+        F.concat(F.lit("https://absent.example/"), key),
+        tail,
+    ]
+    wanted = S.documents(spark, folder).select("doc_id", F.floor(key / 4).cast("bigint").alias("page_id")).join(named, "page_id", "left")
+    manifest = wanted.select("doc_id", F.get(F.array(*given), (key % len(given)).cast("int")).alias("input"))
+    done = convert_inputs(spark, manifest, path, ConvertOptions(max_bytes=MAX_BYTES), base=path)
+    return done.select(F.col("doc_id").cast("bigint").alias("doc_id"), "kind", "status", F.when(F.col("status") == "ok", F.col("format")).alias("format"), "chars", "markdown")
+
+
 def _candidates(spark, folder):
     """One to three engines per document; every 13th best result is blank."""
     key = F.col("doc_id")

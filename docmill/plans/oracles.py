@@ -209,7 +209,7 @@ FROM l"""
 
 ORACLES["scan_delimited"] = """
 SELECT c_custkey, CAST(CASE WHEN c_custkey % 7 = 0 THEN 2 ELSE 4 END AS BIGINT) AS n_cells,
-  c_custkey || '¦' || c_name || ', "' || c_mktsegment || '"' ||
+  c_custkey || '¦' || c_name || ', "' || c_mktsegment || CASE WHEN c_custkey % 3 = 0 THEN chr(10) || chr(10) || 'end' ELSE '' END || '"' ||
   CASE c_custkey % 7 WHEN 0 THEN '' WHEN 1 THEN '¦¦' WHEN 2 THEN '¦zw¦' ELSE '¦¦x' || c_nationkey END AS cells
 FROM customer"""
 
@@ -464,6 +464,17 @@ WITH {PAGE_MARKDOWN},
 SELECT doc_id, kind, format, status, CAST(length(markdown) AS BIGINT) AS chars, false AS truncated, markdown
 FROM r"""
 
+ORACLES["convert_inputs"] = f"""
+WITH wanted AS (
+  SELECT doc_id, CASE WHEN doc_id % 8 = 6 THEN 'url' ELSE 'file' END AS kind, html,
+    CASE WHEN doc_id % 8 = 4 THEN 'empty_input' WHEN doc_id % 8 IN (5, 6) AND page_id IS NOT NULL THEN 'not_found' WHEN doc_id % 8 = 6 THEN 'not_found'
+      WHEN page_id IS NULL THEN 'empty_input' WHEN doc_id % 8 = 3 THEN 'not_a_file'
+      WHEN octet_length(encode(html)) + 1 > {MAX_BYTES} THEN 'too_large' ELSE 'ok' END AS status
+  FROM documents LEFT JOIN pages ON page_id = doc_id // 4)
+SELECT doc_id, kind, status, CASE WHEN status = 'ok' THEN 'text' END AS format,
+  CASE WHEN status = 'ok' THEN CAST(length({norm('html')}) AS BIGINT) END AS chars, CASE WHEN status = 'ok' THEN {norm('html')} END AS markdown
+FROM wanted"""
+
 CANDIDATES = f"""
   have AS (
     SELECT doc_id, text, e AS engine, i AS place FROM documents, (VALUES {", ".join(f"('{e}', {i})" for i, e in enumerate(ENGINES))}) AS v(e, i)

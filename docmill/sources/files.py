@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docmill.options import DEFAULT_MAX_BYTES
@@ -39,6 +39,10 @@ def within_size(files: DataFrame, max_bytes: int = DEFAULT_MAX_BYTES) -> DataFra
         "length",
         F.lit(None).cast("binary").alias("content"),
         F.lit("too_large").alias("status"),
-        F.concat("path", F.lit(f" is larger than the configured max_bytes of {max_bytes}")).alias("error"),
+        too_large("path", max_bytes).alias("error"),
     )
     return accepted.unionByName(refused)
+
+
+def too_large(path: str, max_bytes: int) -> Column:
+    return F.concat(path, F.lit(f" is larger than the configured max_bytes of {max_bytes}"))
