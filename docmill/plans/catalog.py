@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 # Size cap and length limit that some rows of the tables exceed.
 MAX_BYTES = 12_000
 MAX_CHARS = 2_000
+PIECE_CHARS = 10_000
 BOM = chr(0xFEFF)
 NAMES = (*routing.NATIVE, *routing.PLAIN, *routing.UNSUPPORTED, "dat", "parquet")
 CONTENT_TYPES = ("text/HTML; charset=utf-8", "application/json", "text/csv", "application/octet-stream", "")
@@ -412,6 +414,23 @@ def markdown_table(spark, folder):
     return assemble.markdown_table(rows, ["l_orderkey"])
 
 
+@query
+def markdown_pieces(spark, folder):
+    cells = F.array(S.word(F.col("l_orderkey")), F.concat("l_linestatus", F.lit("|")), S.word(F.col("l_partkey")))
+    rows = S.table(spark, folder, "lineitem").select(
+        "l_returnflag",
+        F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("row_no"),
+        F.slice(cells, F.lit(1), (F.col("l_linenumber") % 3 + 1).cast("int")).alias("cells"),
+    )
+    found = assemble.markdown_pieces(rows, ["l_returnflag"], max_chars=PIECE_CHARS)
+    return found.select(
+        "l_returnflag",
+        F.col("piece_no").cast("bigint").alias("piece_no"),
+        F.length("markdown").cast("bigint").alias("chars"),
+        F.md5(F.col("markdown").cast("binary")).alias("digest"),
+    )
+
+
 @query
 def csv_to_markdown(spark, folder):
     built = S.documents(spark, folder).select("doc_id", S.csv_text(F.col("text")).alias("text"))
@@ -577,14 +596,33 @@ def convert_documents_query(spark, folder):
             name(prefix, key, "").alias("doc_id"), given.alias("input"), kind.alias("content_type"), content.cast("binary").alias("content")
         )
 
-    boxed = S.packed(docs, F.array(S.entry(F.lit("word/document.xml"), S.word_document(F.col("text")))))
-    packed = stored(boxed, "containers")
+    def boxed(fmt, parts):
+        """Real files of containers, made of their parts."""
+        entry = S.entry(F.col("part"), F.col("content"))
+        whole = parts.groupBy("doc_id").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+        return S.packed(whole, F.col("entries")).withColumn("ext", F.lit(fmt))
+
+    kinds = {"docx": S.word_parts(docs), "xlsx": S.workbook_parts(docs), "pptx": S.deck_parts(docs), "epub": S.book_parts(found)}
+    packed = stored(reduce(DataFrame.unionByName, [boxed(fmt, parts) for fmt, parts in kinds.items()]), "containers", by="ext")
+    text = F.col("text")
+    books = S.notebooks(spark, folder).withColumn("name", F.concat_ws("-", "conv_id", S.word(F.col("part"))))
     every = (
         rows(docs, "txt", "doc_id", name("d/", "doc_id", ".txt"), F.col("text"))
         .unionByName(rows(docs, "pdf", "doc_id", name("d/", "doc_id", ".pdf"), F.col("text")))
         .unionByName(rows(found, "web", "page_id", F.col("url"), F.col("html"), F.lit("text/html")))
         .unionByName(rows(events, "json", "event_id", name("e/", "event_id", ".JSON"), F.col("props")))
-        .unionByName(rows(packed, "docx", "doc_id", name("w/", "doc_id", ".docx"), F.col("content")))
+        .unionByName(rows(docs, "csv", "doc_id", name("d/", "doc_id", ".csv"), S.csv_text(text)))
+        .unionByName(rows(docs, "tsv", "doc_id", name("d/", "doc_id", ".tsv"), S.csv_text(text, "", "\t")))
+        .unionByName(rows(docs, "xml", "doc_id", name("d/", "doc_id", ".xml"), S.xml_document(text)))
+        .unionByName(rows(books, "ipynb", "name", name("n/", "name", ".ipynb"), text))
+        .unionByName(
+            packed.select(
+                F.concat("ext", "doc_id").alias("doc_id"),
+                F.concat(F.lit("w/"), "doc_id", F.lit("."), "ext").alias("input"),
+                F.lit("").alias("content_type"),
+                "content",
+            )
+        )
     )
     return convert_documents(every, truncate=False).select("doc_id", "kind", "format", "status", "chars", "truncated", "markdown")
 
@@ -713,7 +751,7 @@ def stream_documents_query(spark, folder):
     base = shared_folder(spark, "stream")
     S.landed(S.pages(spark, folder), "page_id", "html", f"{base}/in")
     run = stream_documents(
-        spark, f"{base}/in", f"{base}/out", f"{base}/state", glob="*.txt", max_files=1_000, containers=False
+        spark, f"{base}/in", f"{base}/out", f"{base}/state", glob="*.txt", max_files=1_000
     )
     run.awaitTermination()
     return spark.read.parquet(f"{base}/out").select(

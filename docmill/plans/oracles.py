@@ -12,7 +12,7 @@ from docmill.operators.engines import NOISE
 from docmill.operators.results import REMEDY
 from docmill.operators.routing import NATIVE, PLAIN, UNSUPPORTED
 from docmill.options import ENGINES
-from docmill.plans.catalog import CONTENT_TYPES, MAX_BYTES, MAX_CHARS, NAMES
+from docmill.plans.catalog import CONTENT_TYPES, MAX_BYTES, MAX_CHARS, NAMES, PIECE_CHARS
 
 ORACLES: dict[str, str] = {}
 
@@ -352,6 +352,24 @@ WITH r AS (
     FROM r)
 SELECT l_orderkey, string_agg(line, {NL} ORDER BY n) AS markdown FROM t GROUP BY l_orderkey"""
 
+ORACLES["markdown_pieces"] = f"""
+WITH r AS (
+  SELECT l_returnflag, row_number() OVER w AS n, l_linenumber % 3 + 1 AS k, max(l_linenumber % 3 + 1) OVER (PARTITION BY l_returnflag) AS width,
+    [CAST(l_orderkey AS VARCHAR), l_linestatus || '\\|', CAST(l_partkey AS VARCHAR)] AS cells
+  FROM lineitem WINDOW w AS (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_linestatus)),
+  t AS (
+    SELECT l_returnflag, n, '| ' || cells[1] || ' |' || CASE WHEN width > 1 THEN ' ' || CASE WHEN k > 1 THEN cells[2] ELSE '' END || ' |' ELSE '' END
+      || CASE WHEN width > 2 THEN ' ' || CASE WHEN k > 2 THEN cells[3] ELSE '' END || ' |' ELSE '' END
+      || CASE WHEN n = 1 THEN {NL} || repeat('| --- ', CAST(width AS BIGINT)) || '|' ELSE '' END AS line
+    FROM r),
+  c AS (
+    SELECT *, coalesce(sum(length(line) + 1) OVER (PARTITION BY l_returnflag ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // {PIECE_CHARS // 2} AS piece
+    FROM t),
+  p AS (SELECT l_returnflag, piece, string_agg(line, {NL} ORDER BY n) AS markdown FROM c GROUP BY l_returnflag, piece)
+SELECT l_returnflag, CAST(row_number() OVER (PARTITION BY l_returnflag ORDER BY piece) - 1 AS BIGINT) AS piece_no,
+  CAST(length(markdown) AS BIGINT) AS chars, md5(markdown) AS digest
+FROM p"""
+
 CSV_ROWS = text_list(
     f"'| ' || i || ' | ' || {cell('line')} || ' | ' || CASE WHEN i % 3 = 0 THEN 'extra' ELSE '' END || ' |' "
     f"|| CASE WHEN i = 0 THEN {NL} || '| --- | --- | --- |' ELSE '' END"
@@ -459,7 +477,14 @@ WITH {PAGE_MARKDOWN},
     SELECT 'txt' || doc_id AS doc_id, 'file' AS kind, 'text' AS format, 'ok' AS status, {norm('text')} AS markdown FROM documents
     UNION ALL SELECT 'pdf' || doc_id, 'file', 'unsupported', 'unsupported', NULL FROM documents
     UNION ALL SELECT 'web' || page_id, 'url', 'html', 'ok', markdown FROM page_md
-    UNION ALL SELECT 'docx' || doc_id, 'file', 'docx', 'ok', {WORD_TEXT} FROM documents
+    UNION ALL SELECT 'docx' || doc_id, 'file', 'docx', status, markdown FROM ({ORACLES['docx_to_markdown']})
+    UNION ALL SELECT 'xlsx' || doc_id, 'file', 'xlsx', status, markdown FROM ({ORACLES['xlsx_to_markdown']})
+    UNION ALL SELECT 'pptx' || doc_id, 'file', 'pptx', status, markdown FROM ({ORACLES['pptx_to_markdown']})
+    UNION ALL SELECT 'epub' || doc_id, 'file', 'epub', status, markdown FROM ({ORACLES['epub_to_markdown']})
+    UNION ALL SELECT 'ipynb' || conv_id || '-' || part, 'file', 'ipynb', status, markdown FROM ({ORACLES['notebook_to_markdown']})
+    UNION ALL SELECT 'csv' || doc_id, 'file', 'csv', 'ok', markdown FROM ({ORACLES['csv_to_markdown']})
+    UNION ALL SELECT 'tsv' || doc_id, 'file', 'tsv', 'ok', markdown FROM ({ORACLES['tsv_to_markdown']})
+    UNION ALL SELECT 'xml' || doc_id, 'file', 'xml', 'ok', {norm('result')} FROM ({ORACLES['xml_to_text']})
     UNION ALL SELECT 'json' || event_id, 'file', 'json', 'ok', markdown FROM ({ORACLES['json_to_markdown']}))
 SELECT doc_id, kind, format, status, CAST(length(markdown) AS BIGINT) AS chars, false AS truncated, markdown
 FROM r"""
