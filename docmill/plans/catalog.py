@@ -13,7 +13,7 @@ from docmill.operators import assemble, ebook, engines, notebook, plain, results
 from docmill.options import ENGINES, ConvertOptions
 from docmill.plans import sources as S
 from docmill.plans import write
-from docmill.plans.convert import convert_documents, convert_inputs
+from docmill.plans.convert import convert_documents, convert_inputs, listed
 from docmill.plans.storage import shared_folder, stored
 from docmill.sources import archive, delimited, files, inputs, responses
 from docmill.streaming.documents import stream_documents
@@ -632,13 +632,13 @@ def convert_documents_query(spark, folder):
 def convert_inputs_query(spark, folder):
     path = shared_folder(spark, "landing")
     S.landed(S.pages(spark, folder), "page_id", "html", path)
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    named = listed.select(
+    listing = listed(spark, path)
+    named = listing.select(
         F.regexp_extract("path", PAGE_KEY, 1).cast("bigint").alias("page_id"), F.regexp_replace("path", r"\Afile:/+", "/").alias("path")
     )
     key, file = F.col("doc_id"), F.col("path")
-    tail = F.regexp_extract(file, r"([^/]+/[^/]+)\z", 1)
-    folder_of = F.regexp_extract(file, r"\A(.*/)[^/]+/[^/]+\z", 1)
+    tail = F.regexp_extract(file, r"([^/]+/[^/]+/[^/]+)\z", 1)
+    folder_of = F.regexp_extract(file, r"\A(.*/)[^/]+/[^/]+/[^/]+\z", 1)
     given = [
         F.concat(F.lit(" "), file, F.lit("\t")),
         F.when(F.startswith(file, F.lit("/")), F.concat(F.lit("file://"), F.replace(file, F.lit("="), F.lit("%3D")))).otherwise(file),
@@ -651,7 +651,7 @@ def convert_inputs_query(spark, folder):
     ]
     wanted = S.documents(spark, folder).select("doc_id", F.floor(key / 4).cast("bigint").alias("page_id")).join(named, "page_id", "left")
     manifest = wanted.select("doc_id", F.get(F.array(*given), (key % len(given)).cast("int")).alias("input"))
-    done = convert_inputs(spark, manifest, path, ConvertOptions(max_bytes=MAX_BYTES), base=path)
+    done = convert_inputs(spark, manifest, path, ConvertOptions(max_bytes=MAX_BYTES), base=path, listing=listing)
     return done.select(F.col("doc_id").cast("bigint").alias("doc_id"), "kind", "status", F.when(F.col("status") == "ok", F.col("format")).alias("format"), "chars", "markdown")
 
 

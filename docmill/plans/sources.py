@@ -9,10 +9,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BUCKET = 10
+#: Folders below a landing directory. Spark starts a task for each folder of a level, up to 10,000, to list it.
+LANDING_FOLDERS = 256
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -349,5 +352,35 @@ def entry(name: Column, data: Column) -> Column:
 
 
 def landed(df: DataFrame, key: str, text: str, path: str) -> None:
-    """One text file per row, the key in its folder name: what a landing directory holds."""
-    df.select(key, text).write.partitionBy(key).text(path)
+    """One text file per key and task, a line per row, the key in its folder name: what a landing directory holds.
+
+    Other programs put such files there, and so do the tasks here. Spark's writer starts a program for the
+    permissions of each file on file systems without native support and has the driver move them one by one.
+    """
+
+    folders = LANDING_FOLDERS
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from contextlib import closing
+        from itertools import groupby
+        from urllib.parse import quote
+        from zlib import crc32
+
+        import pyarrow
+        from pyarrow import fs
+        from pyspark import TaskContext
+
+        store, base = fs.FileSystem.from_uri(path) if ":" in path else (fs.LocalFileSystem(), path)
+        part, files = TaskContext.get().partitionId(), 0
+        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+        for value, found in groupby(rows, lambda row: row[0]):
+            name = "__HIVE_DEFAULT_PARTITION__" if value is None else quote(str(value), safe="")
+            folder = f"{base}/folder={crc32(name.encode()) % folders}/{key}={name}"
+            store.create_dir(folder)
+            with closing(store.open_output_stream(f"{folder}/part-{part:05d}.txt")) as out:
+                for _, line in found:
+                    out.write((line or "").encode() + b"\n")
+            files += 1
+        yield pyarrow.RecordBatch.from_pydict({"files": [files]})
+
+    df.select(key, text).sortWithinPartitions(key).mapInArrow(put, "files long").agg(F.sum("files")).collect()
