@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from docmill.options import ConvertOptions
 from docmill.plans.convert import convert_documents
 from docmill.plans.storage import shared_folder
-from docmill.sources.files import within_size
+from docmill.sources.files import in_fewer_tasks, within_size
 
 FILES = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -42,7 +42,8 @@ def stream_documents(
         reader = reader.option("pathGlobFilter", glob)
 
     def convert(batch: DataFrame, batch_id: int) -> None:
-        documents = batch.select(
+        # A task writes a file, whether it has rows or not.
+        documents = in_fewer_tasks(batch, 1).select(
             F.col("path").alias("doc_id"), F.col("path").alias("input"), "content", "status", "error"
         )
         results = convert_documents(documents, options, containers=containers, parts_path=parts_path)
