@@ -3,8 +3,10 @@
 A document's set holds its distinct n-word shingles, as sorted 64-bit hashes. Equal sets are one
 class. Two sets that are similar enough share a shingle among the first few of each in any common
 order, so only those few are keys; shingles found in very many documents come last in the order,
-which keeps common passages from being keys. Keys of one class alone lead nowhere. The classes of
-a key meet in tiles by size band (a set is compared within its band and with the next larger one).
+which keeps common passages from being keys. Keys of one class alone lead nowhere, nor do keys that
+lie too late in all their sets to be the first shared one of a similar pair. The classes of
+a key meet in tiles by size band (a set is compared within its band and, unless its key lies too late
+for the smaller of two sets, with the next larger one).
 Within a tile, bitmap signatures of the parity of hashed shingles bound the overlap from above,
 first short ones, then ones as long as the sets need, before sorted arrays are intersected.
 
@@ -186,11 +188,21 @@ def shingles_of(docs: DataFrame, wanted: DataFrame, options: Options) -> DataFra
     return rows.join(wanted, "name", "left_semi").groupBy("name").agg(F.min("shingles").alias("shingles"))
 
 
+def early(percent: int) -> Column:
+    """Whether a set of ``n`` shingles can be the smaller one of a pair whose first shared key has this ``rank`` in it.
+
+    Before that key the two share nothing, so what follows it bounds their overlap. The smaller one of every
+    similar pair is early at the pair's first shared key.
+    """
+    return (100 + percent) * (F.col("n") - F.col("rank")) >= 2 * percent * F.col("n")
+
+
 def tiles(rows: DataFrame, percent: int) -> DataFrame:
-    """Rows ``(key, m, name, n, ...)`` to their tiles: that of their own size band, and as guests that of the next one."""
+    """Rows ``(key, rank, m, name, n, ...)`` to their tiles: that of their own size band, and early ones as guests that of the next."""
     band = F.floor(F.ln(F.col("n")) / math.log(100 / (percent - 1)))
     cut = F.pmod(F.xxhash64("name"), F.greatest(F.lit(1), F.ceil(F.col("m") / TILE)))
-    place = F.explode(F.array(F.struct(band.alias("band"), F.lit(True).alias("home")), F.struct((band + 1).alias("band"), F.lit(False).alias("home"))))
+    home, guest = F.struct(band.alias("band"), F.lit(True).alias("home")), F.struct((band + 1).alias("band"), F.lit(False).alias("home"))
+    place = F.explode(F.when(early(percent), F.array(home, guest)).otherwise(F.array(home)))
     return rows.withColumn("cut", cut).withColumn("place", place).select("*", "place.band", "place.home").drop("place")
 
 
@@ -380,8 +392,8 @@ def classes_of(docs: DataFrame, options: Options) -> tuple[DataFrame, DataFrame]
     """``described`` documents, and the smallest document ``(name, component_id)`` reachable from each class by links."""
     rows = kept(described(docs, options.words), "shingle-sets")
     classes = kept(keyed(docs, common_shingles(rows), options), "set-keys")
-    keys = classes.select(F.posexplode("keys").alias("rank", "key"), "name")
-    shared = kept(keys.groupBy("key").agg(F.min("name").alias("low"), F.max("name").alias("high"), F.count("*").alias("m")).where("low <> high").select("key", "m"), "shared-keys")
+    keys = classes.select(F.posexplode("keys").alias("rank", "key"), "name", "n").withColumn("early", early(options.percent)).drop("n")
+    shared = kept(keys.groupBy("key").agg(F.min("name").alias("low"), F.max("name").alias("high"), F.count("*").alias("m"), F.max("early").alias("early")).where("low <> high AND early").select("key", "m"), "shared-keys")
     open_keys = kept(keys.join(shared, "key").distinct(), "open-keys")
 
     def links_of(rows: DataFrame, few: bool) -> DataFrame:
@@ -395,14 +407,14 @@ def classes_of(docs: DataFrame, options: Options) -> tuple[DataFrame, DataFrame]
 
     facts = classes.select("name", "n", "bits").dropDuplicates(["name"])
     # A class has no more keys than its text has shingles, so they may meet in one row.
-    first = F.slice(F.sort_array(F.collect_list(F.struct("key", "m"))), 1, options.first_keys)
+    first = F.slice(F.sort_array(F.collect_list(F.struct("key", "m", "rank"))), 1, options.first_keys)
     start = open_keys.groupBy("name").agg(first.alias("first")).select("name", F.inline("first")).join(facts, "name")
     links = links_of(start.withColumn("component", F.col("name")), True)
     parts = components(links, "first-parts")
 
     part: Column = F.coalesce("component", "name")
     placed = kept(open_keys.join(parts.withColumnRenamed("node", "name"), "name", "left").withColumn("component", part), "placed-keys")
-    mixed_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
+    mixed_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("early").alias("early")).where("low <> high AND early").select("key")
     rest = placed.join(mixed_keys, "key").join(classes.select("name", "n", "bits", "wide").dropDuplicates(["name"]), "name")
     ends = components(links.unionByName(links_of(rest, False)), "parts")
 

@@ -226,6 +226,16 @@ def join_by_hand(rows, words, percent):
     return {i: (len(sets[i]), part[i]) for i in ids}
 
 
+def test_late_keys_make_no_guests(spark):
+    rows = [(1, 0, 4, "early", 100), (1, 8, 4, "edge", 100), (1, 9, 4, "late", 100), (1, 14, 4, "last", 100)]
+    placed = ngram_join.tiles(spark.createDataFrame(rows, "key long, rank int, m long, name string, n long"), 85).collect()
+    homes, guests = ({r.name for r in placed if r.home is home} for home in (True, False))
+    assert homes == {"early", "edge", "late", "last"} and guests == {"early", "edge"}
+    # With n = 100 and 85 % a smaller set shares at least 92 shingles from its first shared key on.
+    assert {r.band for r in placed if not r.home} == {r.band + 1 for r in placed if r.home}
+
+
+
 @pytest.mark.parametrize("tile,common", [(512, 64), (3, 2)])
 @pytest.mark.parametrize("words,percent", [(4, 85), (5, 80), (1, 60)])
 def test_ngram_join(odd_docs, odd_rows, tile, common, words, percent, monkeypatch):
