@@ -197,12 +197,21 @@ def early(percent: int) -> Column:
     return (100 + percent) * (F.col("n") - F.col("rank")) >= 2 * percent * F.col("n")
 
 
+def size_band(percent: int) -> Column:
+    return F.floor(F.ln(F.col("n")) / math.log(100 / (percent - 1)))
+
+
 def tiles(rows: DataFrame, percent: int) -> DataFrame:
-    """Rows ``(key, rank, m, name, n, ...)`` to their tiles: that of their own size band, and early ones as guests that of the next."""
-    band = F.floor(F.ln(F.col("n")) / math.log(100 / (percent - 1)))
+    """Rows ``(key, rank, m, name, n, ...)`` to their tiles: that of their own size band, and early ones as guests that of the next.
+
+    Where rows say by a bit each which bands their key has (``held``, bands modulo 64), nobody is a guest of none.
+    """
+    band, guests = size_band(percent), early(percent)
+    if "held" in rows.columns:
+        guests &= F.getbit("held", F.pmod(band + 1, F.lit(64)).cast("int")) == 1
     cut = F.pmod(F.xxhash64("name"), F.greatest(F.lit(1), F.ceil(F.col("m") / TILE)))
     home, guest = F.struct(band.alias("band"), F.lit(True).alias("home")), F.struct((band + 1).alias("band"), F.lit(False).alias("home"))
-    place = F.explode(F.when(early(percent), F.array(home, guest)).otherwise(F.array(home)))
+    place = F.explode(F.when(guests, F.array(home, guest)).otherwise(F.array(home)))
     return rows.withColumn("cut", cut).withColumn("place", place).select("*", "place.band", "place.home").drop("place")
 
 
@@ -392,7 +401,7 @@ def classes_of(docs: DataFrame, options: Options) -> tuple[DataFrame, DataFrame]
     """``described`` documents, and the smallest document ``(name, component_id)`` reachable from each class by links."""
     rows = kept(described(docs, options.words), "shingle-sets")
     classes = kept(keyed(docs, common_shingles(rows), options), "set-keys")
-    keys = classes.select(F.posexplode("keys").alias("rank", "key"), "name", "n").withColumn("early", early(options.percent)).drop("n")
+    keys = classes.select(F.posexplode("keys").alias("rank", "key"), "name", "n").withColumns({"early": early(options.percent), "band": size_band(options.percent).cast("int")}).drop("n")
     shared = kept(keys.groupBy("key").agg(F.min("name").alias("low"), F.max("name").alias("high"), F.count("*").alias("m"), F.max("early").alias("early")).where("low <> high AND early").select("key", "m"), "shared-keys")
     open_keys = kept(keys.join(shared, "key").distinct(), "open-keys")
 
@@ -414,8 +423,9 @@ def classes_of(docs: DataFrame, options: Options) -> tuple[DataFrame, DataFrame]
 
     part: Column = F.coalesce("component", "name")
     placed = kept(open_keys.join(parts.withColumnRenamed("node", "name"), "name", "left").withColumn("component", part), "placed-keys")
-    mixed_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("early").alias("early")).where("low <> high AND early").select("key")
-    rest = placed.join(mixed_keys, "key").join(classes.select("name", "n", "bits", "wide").dropDuplicates(["name"]), "name")
+    held = F.expr("bit_or(shiftleft(1L, CAST(pmod(band, 64) AS int)))").alias("held")
+    mixed_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("early").alias("early"), held).where("low <> high AND early").select("key", "held")
+    rest = placed.drop("early", "band").join(mixed_keys, "key").join(classes.select("name", "n", "bits", "wide").dropDuplicates(["name"]), "name")
     ends = components(links.unionByName(links_of(rest, False)), "parts")
 
     known = rows.where("n IS NOT NULL")

@@ -235,6 +235,15 @@ def test_late_keys_make_no_guests(spark):
     assert {r.band for r in placed if not r.home} == {r.band + 1 for r in placed if r.home}
 
 
+def test_no_guests_of_bands_that_a_key_has_not(spark):
+    """Bands of 85 %: 100 shingles are in band 26, 120 in band 27, 80,000 in band 64 and 100,000 in band 66."""
+    key = lambda k, sizes: [(k, 0, len(sizes), n, n, sum({1 << b % 64 for _, b in sizes}) - (1 << 64) * any(b % 64 == 63 for _, b in sizes)) for n, _ in sizes]
+    rows = key(1, [(100, 26)]) + key(2, [(100, 26), (120, 27)]) + key(3, [(70_000, 63), (80_000, 64)]) + key(4, [(100, 26), (100_000, 66)])
+    placed = ngram_join.tiles(spark.createDataFrame(rows, "key long, rank int, m long, name long, n long, held long"), 85).collect()
+    assert {(r.key, r.n, r.band) for r in placed if r.home} == {(1, 100, 26), (2, 100, 26), (2, 120, 27), (3, 70_000, 63), (3, 80_000, 64), (4, 100, 26), (4, 100_000, 66)}
+    assert {(r.key, r.n, r.band) for r in placed if not r.home} == {(2, 100, 27), (3, 70_000, 64)}
+
+
 
 @pytest.mark.parametrize("tile,common", [(512, 64), (3, 2)])
 @pytest.mark.parametrize("words,percent", [(4, 85), (5, 80), (1, 60)])
