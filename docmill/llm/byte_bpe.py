@@ -19,6 +19,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from itertools import batched, chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ LOW, NOTHING = (1 << 20) - 1, (1 << 20) - 1
 #: Tokens tried when asking whether a start may still become one.
 TRIES = 96
 #: Entries of a worker's tables before they are begun anew.
-STATES, PIECES = 1 << 18, 1 << 19
+STATES, PIECES = 1 << 18, 1 << 17
 NO_END = 1 << 40
 #: Below this character a word of letters is one piece whatever the version of the character tables.
 LETTERS_END = "\u0250"
@@ -80,10 +81,11 @@ class Transducer:
     def begin(self) -> None:
         self.numbers: dict[tuple, int] = {}
         self.states: list[tuple] = []
-        self.moves: dict[int, tuple[int, bytes]] = {}
-        self.start = self.number(((NOTHING << 20 | ROOT, b""),))
+        self.moves: dict[int, int | tuple[int, bytes]] = {}
+        self.start = self.number((NOTHING << 20 | ROOT, b""))
 
     def number(self, state: tuple) -> int:
+        """States are flat, each open start followed by its tokens; a worker holds very many of them."""
         known = self.numbers.get(state)
         if known is None:
             known = self.numbers[state] = len(self.states)
@@ -155,10 +157,10 @@ class Transducer:
             self.live[place] = known
         return known
 
-    def move(self, state: int, byte: int) -> tuple[int, bytes]:
-        """Determinise one step: the next state, and the tokens on which all open starts agree."""
+    def move(self, state: int, byte: int) -> int | tuple[int, bytes]:
+        """Determinise one step: the next state, with the tokens on which all open starts agree if there are any."""
         after = []
-        for place, out in self.states[state]:
+        for place, out in batched(self.states[state], 2, strict=True):
             node = self.child.get((place & LOW) << 8 | byte)
             if node is None:
                 continue
@@ -176,7 +178,8 @@ class Transducer:
             cut = len(agreed)
             after = [(place, out[cut:]) for place, out in after]
         after.sort()
-        step = self.moves[state << 8 | byte] = self.number(tuple(after)), agreed
+        to = self.number(tuple(chain.from_iterable(after)))
+        step = self.moves[state << 8 | byte] = (to, agreed) if agreed else to
         return step
 
     def encode(self, piece: bytes) -> bytes:
@@ -186,13 +189,16 @@ class Transducer:
             return whole.to_bytes(4, "little")
         if len(self.states) > STATES:
             self.begin()
-        ids, state, moves = b"", self.start, self.moves
+        ids, state, before, moves = b"", self.start, self.start, self.moves
         for byte in piece:
-            step = moves.get(state << 8 | byte) or self.move(state, byte)
-            state = step[0]
-            if step[1]:
-                ids += step[1]
-        for place, out in self.states[state]:
+            state = moves.get(state << 8 | byte, -1)
+            if state == -1:
+                state = self.move(before, byte)
+            if state.__class__ is tuple:
+                state, agreed = state
+                ids += agreed
+            before = state
+        for place, out in batched(self.states[state], 2, strict=True):
             if not place & LOW:
                 return ids + out
         raise ValueError("the ranks have no token for a byte")

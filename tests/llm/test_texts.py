@@ -405,3 +405,18 @@ def test_the_shape_of_a_long_word_is_that_of_all_of_it():
         data, offsets = bytes_of(pa.array(["call me at " + "(" * lead + "555-123-4567 today"]))
         found.append([kind for _, kind, _ in pii.tagged(field, field.reach(), data, offsets).get(0, [])])
     assert found[0] and found[0] == found[1] == found[2]
+
+
+def test_encoder_tables_are_compact(monkeypatch):
+    """The workers of an executor hold these tables at the same time."""
+    encoder = byte_bpe.Encoder(byte_bpe.read_ranks(RANKS), public_tokenizers.PATTERN)
+    rng = random.Random(5)
+    for _ in range(500):
+        encoder.later["".join(rng.choices("abcdefghijklmnop", k=9))]
+    transducer = encoder.later.transducer
+    assert all(type(x) in (int, bytes) for state in transducer.states for x in state)
+    assert {type(x) for x in transducer.moves.values()} == {int, tuple}
+    monkeypatch.setattr(transducer, "encode", lambda piece: b"")
+    for i in range(300_000):
+        encoder.later["".join("abcdefghij"[int(d)] for d in str(1_000_000 + i))]
+    assert len(encoder.later) + len(encoder.later.older) < 300_000
