@@ -49,8 +49,10 @@ CHUNK = 4096
 #: Tokens of a rare symbol that one task trains on; with more of them its tree is trained in several.
 PART_TOKENS = 1 << 22
 NOTHING = 1e-30
-#: Levels of a tree whose scores are one matrix product.
-TOP = 6
+#: Levels of a tree whose scores are matrix products, one for each node above so many leaves on average, or more.
+BAND, BAND_LEAVES = 6, 16
+#: Leaves whose gains are worked out at a time.
+GAINS = 4096
 
 
 @dataclass(frozen=True)
@@ -65,13 +67,22 @@ class Options:
     tree_rounds: int = 1
 
 
-def keys_of(hasher: Hasher, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+class Keys(Hasher):
+    """Lower-cased words to keys, whose low bits are their bucket."""
+
+    def __init__(self):
+        super().__init__(lower=True)
+        #: The bucket of every two last bytes.
+        self.buckets = (mixed(self.values[:, None] * MIX_A + self.values) % np.uint64(BUCKETS)).ravel()
+
+
+def keys_of(hasher: Keys, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A key per word, whose low bits are its bucket, and the words of each document."""
     starts, ends, hashes = hasher.words(data, offsets)
     if not len(starts):
         return hashes, np.diff(offsets) * 0
-    last, before = hasher.values[data[ends - 1]], hasher.values[data[np.maximum(ends - 2, starts)]]
-    bucket = mixed(last * MIX_A + before) % np.uint64(BUCKETS)
+    last, before = data[ends - 1], data[np.maximum(ends - 2, starts)]
+    bucket = hasher.buckets.take(last.astype(np.int64) << 8 | before)
     return hashes >> np.uint64(BUCKET_BITS) << np.uint64(BUCKET_BITS) | bucket, counts_of(starts, offsets)
 
 
@@ -116,7 +127,7 @@ def word_counts(training: DataFrame) -> DataFrame:
         return keys, np.bincount(at, np.concatenate([n for _, n in parts]), len(keys)).astype(np.int64)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, parts, waiting = Hasher(lower=True), [], 0
+        hasher, parts, waiting = Keys(), [], 0
 
         def handed(keys, n):
             for i in range(0, len(keys), 1 << 16):
@@ -194,7 +205,7 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     return Vocabulary(sum(r.n for r in levels), sum(r.types for r in levels), keys[order], n[order], symbol_counts, tokens, once, limit)
 
 
-ENCODED = "row long, doc_id string, held_out boolean, n_tokens long, n_known long, base double, rare double, symbols binary, picks binary, words array<long>, times array<long>"
+ENCODED = "row long, doc_id string, held_out boolean, n_tokens long, n_known long, base double, rare double, symbols binary, picks binary, words array<long>"
 
 
 def encode(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
@@ -207,7 +218,7 @@ def encode(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = received(known)
-        hasher, lookup = Hasher(lower=True), Lookup(vocab.keys)
+        hasher, lookup = Keys(), Lookup(vocab.keys)
         n = vocab.counts.astype(np.float64)
         base = vocab.base(n)
         rare = np.where(np.arange(len(n)) < WORDS, 0.0, vocab.in_bucket(n, bucket_of(vocab.keys)) if len(n) else 0.0)
@@ -229,7 +240,6 @@ def encode(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
             new = np.ones(len(others), bool)
             new[1:] = (others[1:] != others[:-1]) | (owner[1:] != owner[:-1])
             first = np.flatnonzero(new)
-            times = np.diff(np.append(first, len(others)))
             each = np.bincount(owner[first], minlength=len(per_doc))
             picks = at.astype(np.int32)
             place = np.cumsum(new) - 1
@@ -249,9 +259,8 @@ def encode(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
                     pa.array([symbols[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)], pa.binary()),
                     pa.array([picks[a:b].tobytes() for a, b in zip(edge, edge[1:], strict=False)], pa.binary()),
                     lists(others[first].view(np.int64), each, pa.int64()),
-                    lists(times.astype(np.int64), each, pa.int64()),
                 ],
-                ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "rare", "symbols", "picks", "words", "times"],
+                ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "rare", "symbols", "picks", "words"],
             )
             number += len(per_doc)
 
@@ -306,43 +315,71 @@ def contexts(symbols: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return padded[tokens - 2], padded[tokens - 1], padded[tokens], n + 1
 
 
+def falling(x: np.ndarray) -> np.ndarray:
+    """The logistic function of -x, in place."""
+    np.minimum(x, 30, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
 class Trainer:
-    """Adagrad steps on the noise-contrastive loss; all texts of a batch share its noise symbols."""
+    """Adagrad steps on the noise-contrastive loss; all texts of a batch share its noise symbols.
+
+    Gradients are summed by symbol in whole tables, which are small, so that nothing is sorted.
+    """
 
     def __init__(self, model: Model, share: np.ndarray, rate: float, noise: int, seed: int):
         self.m = Model(*(getattr(model, k).copy() for k in Model.NAMES))
-        self.log_share, self.cut = np.log(share).astype(np.float32), np.cumsum(share)
+        self.shift, self.cut = np.log(share).astype(np.float32) + np.float32(np.log(noise)), np.cumsum(share)
         self.rate, self.noise, self.random = rate, noise, np.random.default_rng(seed)
         self.seen = {k: np.full_like(getattr(self.m, k), 0.1) for k in Model.NAMES}
+        #: Numbers lie in pairs where they can, as pairs are added in half the time.
+        self.pairs = model.target.shape[1] % 2 == 0
+        self.cells = np.arange(self.m.target.size >> self.pairs).reshape(SYMBOLS, -1)
 
-    @staticmethod
-    def gathered(index: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def gathered(self, index: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The symbols at hand and the sums of their rows."""
-        order = np.argsort(index)
-        index = index[order]
-        first = np.flatnonzero(np.append(True, index[1:] != index[:-1]))
-        return index[first], np.add.reduceat(rows[order], first, axis=0)
+        rows = rows.view(np.complex64) if self.pairs else rows
+        sums = np.zeros(self.cells.shape, rows.dtype)  # the same type object, without which numpy adds slowly
+        np.add.at(sums.ravel(), self.cells.take(index, 0).ravel(), rows.ravel())
+        at = np.flatnonzero(np.bincount(index))
+        return at, sums.take(at, 0).view(np.float32)
 
     def step(self, far: np.ndarray, near: np.ndarray, word: np.ndarray) -> None:
-        m, size = self.m, len(word)
+        m, size, dims = self.m, len(word), self.m.target.shape[1]
         noise = np.minimum(np.searchsorted(self.cut, self.random.random(self.noise) * self.cut[-1]), SYMBOLS - 1)
-        shift = self.log_share + np.float32(np.log(self.noise))
-        f, n, t, q = m.context[far], m.context[near], m.target[word], m.target[noise]
-        hidden = n @ m.near + f @ m.far
-        sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-        up = 1 - sigmoid(np.einsum("ij,ij->i", hidden, t) + (m.bias - shift)[word])
-        down = sigmoid(hidden @ q.T + (m.bias - shift)[noise])
-        g_hidden = up[:, None] * t - down @ q
-        words, target = self.gathered(np.concatenate([word, noise]), np.concatenate([up[:, None] * hidden, -(down.T @ hidden)]))
-        bias = np.bincount(word, up, SYMBOLS).astype(np.float32)
-        np.subtract.at(bias, noise, down.sum(0))
-        around, context = self.gathered(np.concatenate([near, far]), np.concatenate([g_hidden @ m.near.T, g_hidden @ m.far.T]))
-        all_ = slice(None)
-        for k, at, g in (("context", around, context), ("target", words, target), ("near", all_, n.T @ g_hidden), ("far", all_, f.T @ g_hidden), ("bias", all_, bias)):
-            g = g / np.float32(np.sqrt(size))
-            seen = self.seen[k][at] + g * g
-            self.seen[k][at] = seen
-            getattr(m, k)[at] += np.float32(self.rate) * g / np.sqrt(seen)
+        drop = self.shift - m.bias
+        f, n, t, q = m.context.take(far, 0), m.context.take(near, 0), m.target.take(word, 0), m.target.take(noise, 0)
+        hidden = n @ m.near
+        hidden += f @ m.far
+        up = falling(np.einsum("ij,ij->i", hidden, t) - drop.take(word))
+        down = hidden @ -q.T
+        down += drop.take(noise)
+        falling(down)
+        g_hidden = np.multiply(t, up[:, None], out=t)
+        g_hidden -= down @ q
+        rows = np.empty((size + len(noise), dims), np.float32)
+        np.matmul(down.T, hidden, out=rows[size:])
+        np.negative(rows[size:], out=rows[size:])
+        np.multiply(hidden, up[:, None], out=rows[:size])
+        ends = np.concatenate([word, noise])
+        words, target = self.gathered(ends, rows)
+        bias = np.bincount(ends, np.concatenate([up, -(np.ones(size, np.float32) @ down)]), SYMBOLS).astype(np.float32)
+        rows = np.empty((2 * size, dims), np.float32)
+        np.matmul(g_hidden, m.near.T, out=rows[:size])
+        np.matmul(g_hidden, m.far.T, out=rows[size:])
+        around, context = self.gathered(np.concatenate([near, far]), rows)
+        for k, at, g in (("context", around, context), ("target", words, target), ("near", None, n.T @ g_hidden), ("far", None, f.T @ g_hidden), ("bias", None, bias)):
+            values, seen = getattr(m, k), self.seen[k]
+            now, then = (values, seen) if at is None else (values.take(at, 0), seen.take(at, 0))
+            g /= np.float32(np.sqrt(size))
+            then += g * g
+            g *= np.float32(self.rate)
+            g /= np.sqrt(then)
+            now += g
+            if at is not None:
+                values[at], seen[at] = now, then
 
 
 def trained(encoded: DataFrame, vocab: Vocabulary, options: Options) -> Model:
@@ -434,55 +471,72 @@ class Tree:
         """The nodes of a level above the leaves, and whether the right side is taken."""
         return (1 << level) + (leaves >> (self.depth - level)), (leaves >> (self.depth - level - 1) & 1).astype(bool)
 
-    def top(self, hidden: np.ndarray, leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Node, side and score on each of the first levels, whose few units are one matrix."""
-        level = np.arange(min(TOP, self.depth))
-        node = (1 << level) + (leaves[:, None] >> (self.depth - level))
-        right = (leaves[:, None] >> (self.depth - level - 1) & 1).astype(bool)
-        return node, right, np.take_along_axis(hidden @ self.units[: 1 << len(level)].T, node, 1)
+    def bands(self, leaves: np.ndarray) -> Iterator[Band | int]:
+        """Levels from the root on, ``BAND`` of them at a time while the leaves lie below few nodes, then one by one."""
+        level = 0
+        while level < self.depth:
+            edges = np.flatnonzero(np.diff(leaves >> (self.depth - level))) + 1
+            if len(edges) >= len(leaves) // BAND_LEAVES:
+                yield from range(level, self.depth)
+                return
+            band = Band(self, level, min(BAND, self.depth - level), leaves, [0, *edges.tolist(), len(leaves)])
+            yield band
+            level += band.levels
 
     def gain(self, hidden: np.ndarray, leaves: np.ndarray) -> np.ndarray:
-        """What the contexts add to the log of the words' shares of the symbol; ``hidden`` ends with a one."""
-        total, product = np.zeros(len(leaves)), np.ones(len(leaves))
-        for i in range(0, len(leaves), 1 << 13):
-            at = slice(i, i + (1 << 13))
-            node, right, score = self.top(hidden[at], leaves[at])
-            each = 1 + np.exp(np.clip(np.where(right, score, -score), -30, 30))
-            product[at] = np.where(self.live[node], each, 1).prod(1, dtype=np.float64)
-        for level in range(min(TOP, self.depth), self.depth):
-            node, right = self.at(level, leaves)
-            score = np.einsum("ij,ij->i", hidden, self.units[node])
-            score[~right] *= -1
-            each = 1 + np.exp(np.clip(score, -30, 30))
-            each[~self.live[node]] = 1
-            product *= each
-            if level % 16 == 15:  # at most 16 factors of e^30 before a logarithm
-                total -= np.log(product)
-                product[:] = 1
-        return total - np.log(product) - self.start[leaves]
+        """What the contexts add to the log of the words' shares of the symbol.
+
+        ``hidden`` ends with a one; the leaves are sorted, so few units are at hand at a time.
+        """
+        total = np.empty(len(leaves))
+        for i in range(0, len(leaves), GAINS):
+            some, below = hidden[i : i + GAINS], leaves[i : i + GAINS]
+            logs, product = np.zeros(len(below)), np.ones(len(below))
+            for level in range(self.depth):
+                node, right = self.at(level, below)
+                score = some @ self.units[node[0]] if node[0] == node[-1] else np.einsum("ij,ij->i", some, self.units.take(node, 0))
+                score *= right * np.float32(2) - np.float32(1)
+                np.minimum(score, 30, out=score)
+                np.exp(score, out=score)
+                score *= self.live.take(node)
+                score += 1
+                product *= score
+                if level % 16 == 15:  # at most 16 factors of e^30 before a logarithm
+                    logs -= np.log(product)
+                    product[:] = 1
+            total[i : i + GAINS] = logs - np.log(product)
+        return total - self.start[leaves]
 
     def step(self, hidden: np.ndarray, leaves: np.ndarray, rate: float) -> None:
         """One Adagrad step of all nodes above the leaves, which are sorted, on the logistic loss."""
-        sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-        node, right, score = self.top(hidden, leaves)
-        if node.shape[1]:
-            up = np.zeros((len(leaves), 1 << node.shape[1]), np.float32)
-            np.put_along_axis(up, node, np.where(self.live[node], ~right - sigmoid(score), 0), 1)
-            times = np.bincount(node.ravel(), minlength=up.shape[1])
-            nodes = np.flatnonzero(times)
-            self.learn(nodes, (up.T @ hidden)[nodes], times[nodes], rate)
-        for level in range(node.shape[1], self.depth):
-            node, right = self.at(level, leaves)
-            first = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
-            up = ~right - sigmoid(np.einsum("ij,ij->i", hidden, self.units[node]))
-            up[~self.live[node]] = 0
-            self.learn(node[first], np.add.reduceat(hidden * up[:, None], first, axis=0), np.diff(np.append(first, len(node))), rate)
+        cells = np.arange(hidden.size).reshape(hidden.shape)
+        for band in self.bands(leaves):
+            if isinstance(band, Band):
+                up = falling(band.scores(hidden))
+                up -= band.right
+                up *= self.live.take(band.node)
+                self.learn(*band.sums(hidden, up), rate)
+                continue
+            node, right = self.at(band, leaves)
+            new = np.append(True, node[1:] != node[:-1])
+            first = np.flatnonzero(new)
+            up = falling(np.einsum("ij,ij->i", hidden, self.units.take(node, 0)))
+            up -= right
+            up *= self.live.take(node)
+            rows = hidden * up[:, None]
+            g = np.zeros((len(first), hidden.shape[1]), rows.dtype)  # the same type object, without which numpy adds slowly
+            np.add.at(g.ravel(), cells.take(np.cumsum(new) - 1, 0).ravel(), rows.ravel())
+            self.learn(node[first], g, np.diff(np.append(first, len(node))), rate)
 
     def learn(self, nodes: np.ndarray, g: np.ndarray, times: np.ndarray, rate: float) -> None:
-        g = g / np.sqrt(times, dtype=np.float32)[:, None]
-        seen = self.seen[nodes] + g * g
+        g /= np.sqrt(times, dtype=np.float32)[:, None]
+        seen = self.seen.take(nodes, 0)
+        seen += g * g
         self.seen[nodes] = seen
-        self.units[nodes] += np.float32(rate) * g / np.sqrt(seen)
+        g *= np.float32(rate)
+        g /= np.sqrt(seen, out=seen)
+        g += self.units.take(nodes, 0)
+        self.units[nodes] = g
         self.visits[nodes] += times
 
     def flat(self) -> np.ndarray:
@@ -496,21 +550,77 @@ class Tree:
         self.units[node] = sums[node - first, 1:] / sums[node - first, :1]
 
 
+class Band:
+    """Some levels of a tree above sorted leaves, whose units are a small matrix below each node of the first level."""
+
+    def __init__(self, tree: Tree, first: int, levels: int, leaves: np.ndarray, edges: list[int]):
+        self.tree, self.levels, self.width, self.spans = tree, levels, 1 << levels, list(zip(edges, edges[1:]))
+        level = np.arange(levels)
+        below = leaves[:, None] >> (tree.depth - first - level)
+        self.node = (1 << (first + level)) + below
+        self.right = (leaves[:, None] >> (tree.depth - first - level - 1) & 1).astype(bool)
+        self.inner = (1 << level) + (below & ((1 << level) - 1))
+        #: Cell of a leaf and level in the matrix of all scores.
+        self.cell = self.inner + np.arange(len(leaves))[:, None] * self.width
+        each = np.arange(1, self.width)
+        height = np.frexp(each)[1] - 1
+        tops = leaves[edges[:-1]] >> (tree.depth - first)
+        #: Nodes in the order of the matrices; the first of each is none.
+        self.nodes = np.zeros((len(tops), self.width), np.int64)
+        self.nodes[:, 1:] = (1 << (first + height)) + (tops[:, None] << height) + each - (1 << height)
+
+    def scores(self, hidden: np.ndarray) -> np.ndarray:
+        """The score on every level."""
+        units, out = self.tree.units.take(self.nodes, 0), np.empty((len(hidden), self.width), np.float32)
+        for (a, b), u in zip(self.spans, units):
+            np.matmul(hidden[a:b], u.T, out=out[a:b])
+        return out.take(self.cell)
+
+    def sums(self, hidden: np.ndarray, up: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The nodes at hand, the sums of the hidden vectors below them times ``up``, and how many these are."""
+        wide = np.zeros((len(hidden), self.width), np.float32)
+        wide.ravel()[self.cell.ravel()] = up.ravel()
+        out = np.empty((len(self.spans), self.width, hidden.shape[1]), np.float32)
+        for (a, b), g in zip(self.spans, out):
+            np.matmul(wide[a:b].T, hidden[a:b], out=g)
+        place = np.repeat(np.arange(len(self.spans)) * self.width, [b - a for a, b in self.spans])
+        times = np.bincount((self.inner + place[:, None]).ravel(), minlength=self.nodes.size)
+        here = np.flatnonzero(times)
+        return self.nodes.take(here), out.reshape(-1, hidden.shape[1]).take(here, 0), times.take(here)
+
+
+def by_bucket(keys: np.ndarray) -> np.ndarray:
+    """The order of keys by bucket, then key; equal keys stay in their order.
+
+    The bucket's bits go to the front of one number, which is sorted fast but not stably; then places
+    of equal keys, as numbers of group and place, are sorted.
+    """
+    keys = keys << np.uint64(64 - BUCKET_BITS) | keys >> np.uint64(BUCKET_BITS)
+    order = np.argsort(keys)
+    keys = keys[order]
+    group = np.cumsum(np.append(False, keys[1:] != keys[:-1])[: len(keys)])
+    return np.sort(group << 32 | order) & ((1 << 32) - 1)
+
+
 def packed(*arrays: np.ndarray) -> bytes:
     return pa.compress(b"".join(x.tobytes() for x in arrays), codec="zstd", asbytes=True)
 
 
 def tree_gains(encoded: DataFrame, counts: DataFrame, vocab: Vocabulary, model: Model, options: Options) -> DataFrame:
-    """``(row, gain)``: log10 of what contexts add to the probabilities of a text's known rare words."""
+    """``(row, gain, more, base, rare)``: log10 of what contexts add to the probabilities of a text's known rare words.
+
+    The others are of its words that were not sent to all executors, whose counts are here anyway: how many
+    of them are known, their base scores, and their probabilities within their symbols.
+    """
     spark = encoded.sparkSession
     parts = np.maximum(1, -(-vocab.bucket_tokens.astype(np.int64) // PART_TOKENS))
     firsts = np.cumsum(parts) - parts
     one, zero_at = np.ones((SYMBOLS, 1), np.float32), np.zeros((SYMBOLS, 1), np.float32)
-    sent = send(spark, (vocab.keys, np.hstack([model.context @ model.near, one]), np.hstack([model.context @ model.far, zero_at])))
+    sent = send(spark, (vocab, np.hstack([model.context @ model.near, one]), np.hstack([model.context @ model.far, zero_at])))
     token = np.dtype([("key", np.uint64), ("row", np.int64), ("far", np.int16), ("near", np.int16), ("held_out", bool)])
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = received(sent)[0]
+        keys = received(sent)[0].keys
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -528,7 +638,9 @@ def tree_gains(encoded: DataFrame, counts: DataFrame, vocab: Vocabulary, model:
             row = batch.column("row").to_numpy()[owner]
             bucket = word[rare] - WORDS
             place = firsts[bucket] + row % parts[bucket]
-            order = np.lexsort((row, key, place))
+            order = by_bucket(key)
+            if (parts > 1).any():
+                order = order[np.argsort(place[order], kind="stable")]
             key, row, far, near, place = key[order], row[order], far[rare][order].astype(np.int16), near[rare][order].astype(np.int16), place[order]
             held = batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)[owner][order]
             edges = np.flatnonzero(np.append(np.ones(min(len(place), 1), bool), place[1:] != place[:-1])).tolist()
@@ -554,8 +666,8 @@ def tree_gains(encoded: DataFrame, counts: DataFrame, vocab: Vocabulary, model:
         """Trees of the places at hand: trained, and used or handed on to be averaged; ``ready`` ones are used."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            top, near_part, far_part = received(sent)
-            top = np.sort(top[:WORDS])
+            vocab, near_part, far_part = received(sent)
+            top = np.sort(vocab.keys[:WORDS])
             for group in runs(batches, ("place",)):
                 turn, n, word = (group.column(c).to_numpy() for c in ("turn", "n", "word"))
                 place, data = int(group.column("place")[0].as_py()), group.column("data")
@@ -566,14 +678,17 @@ def tree_gains(encoded: DataFrame, counts: DataFrame, vocab: Vocabulary, model:
                 order = np.argsort(words)
                 words, times = words[order], times[order]
                 blocks = [unpacked(int(n[i]), data[i].as_py()) for i in np.flatnonzero(turn == 2).tolist()]
-                if not blocks or not len(words):
+                if not blocks:
                     continue
-                tokens = np.concatenate(blocks)
-                leaves = np.minimum(np.searchsorted(words, tokens["key"]), len(words) - 1)
-                known = words[leaves] == tokens["key"]
-                tokens, leaves = tokens[known], leaves[known]
+                every = np.concatenate(blocks)
+                leaves = np.searchsorted(words, every["key"])
+                known = np.append(words, np.uint64(0))[leaves] == every["key"]
+                known &= leaves < len(words)
+                counts = np.where(known, np.append(times, 0)[leaves], 0)
+                tokens, leaves = every[known], leaves[known]
                 tree = Tree(times.astype(np.float64), near_part.shape[1] - 1)
-                hidden = lambda at, tokens=tokens: near_part[tokens["near"][at]] + far_part[tokens["far"][at]]
+                near, far = tokens["near"].astype(np.int64), tokens["far"].astype(np.int64)
+                hidden = lambda at, near=near, far=far: near_part.take(near.take(at), 0) + far_part.take(far.take(at), 0)
                 if ready:
                     for i in np.flatnonzero(turn == 1).tolist():
                         tree.fill(int(word[i]), np.frombuffer(data[i].as_py()))
@@ -587,19 +702,39 @@ def tree_gains(encoded: DataFrame, counts: DataFrame, vocab: Vocabulary, model:
                             at = at[np.argsort(leaves[at])]
                             tree.step(hidden(at), leaves[at], options.tree_rate)
                 if ready or parts[bucket] == 1:
-                    texts, owner = np.unique(tokens["row"], return_inverse=True)
-                    gain = np.zeros(len(tokens))
-                    for i in range(0, len(tokens), 1 << 16):
-                        at = slice(i, i + (1 << 16))
+                    gain, order = np.zeros(len(tokens)), np.argsort(leaves)
+                    for i in range(0, len(tokens), GAINS):
+                        at = order[i : i + GAINS]
                         gain[at] = tree.gain(hidden(at), leaves[at])
-                    gain = np.bincount(owner, gain, len(texts)) / np.log(10)
+                    texts, owner = np.unique(every["row"], return_inverse=True)
+                    tail = np.flatnonzero(counts < vocab.limit)
+                    counts, whose = counts[tail], owner[tail]
+                    sums = (
+                        np.bincount(owner[known], gain, len(texts)) / np.log(10),
+                        np.bincount(whose[counts > 0], minlength=len(texts)),
+                        np.bincount(whose, vocab.base(counts), len(texts)),
+                        np.bincount(whose, vocab.in_bucket(counts, np.full(len(counts), bucket)), len(texts)),
+                    )
                     none = pa.nulls(len(texts), pa.int64())
-                    yield pa.record_batch([pa.array(texts), pa.array(gain), none, none, pa.nulls(len(texts), pa.binary())], ["row", "gain", "bucket", "word", "data"])
+                    sums = [pa.array(x.astype(t)) for x, t in zip(sums, (float, np.int64, float, float), strict=True)]  # an empty bincount is of whole numbers
+                    yield pa.record_batch([pa.array(texts), *sums, none, none, pa.nulls(len(texts), pa.binary())], ["row", "gain", "more", "base", "rare", "bucket", "word", "data"])
                 else:
                     flat = tree.flat()
                     for i in range(0, len(flat), CHUNK):
                         if flat[i : i + CHUNK, 0].any():
-                            yield pa.record_batch([pa.nulls(1, pa.int64()), pa.nulls(1, pa.float64()), pa.array([bucket]), pa.array([i]), pa.array([flat[i : i + CHUNK].tobytes()], pa.binary())], ["row", "gain", "bucket", "word", "data"])
+                            yield pa.record_batch(
+                                [
+                                    pa.nulls(1, pa.int64()),
+                                    pa.nulls(1, pa.float64()),
+                                    pa.nulls(1, pa.int64()),
+                                    pa.nulls(1, pa.float64()),
+                                    pa.nulls(1, pa.float64()),
+                                    pa.array([bucket]),
+                                    pa.array([i]),
+                                    pa.array([flat[i : i + CHUNK].tobytes()], pa.binary()),
+                                ],
+                                ["row", "gain", "more", "base", "rare", "bucket", "word", "data"],
+                            )
 
         return run
 
@@ -623,7 +758,7 @@ def tree_gains(encoded: DataFrame, counts: DataFrame, vocab: Vocabulary, model:
     none, zero = F.lit(None).cast("binary"), F.lit(0).cast("long")
     words = spread(counts.where(F.col("word") != -1).withColumn("bucket", F.col("word").bitwiseAND((1 << BUCKET_BITS) - 1))).withColumns({"turn": F.lit(0), "data": none})
     tokens = encoded.select("row", "held_out", "symbols", "picks", "words").mapInArrow(blocks, "place long, n long, data binary").withColumns({"turn": F.lit(2), "word": zero})
-    kind = "row long, gain double, bucket long, word long, data binary"
+    kind = "row long, gain double, more long, base double, rare double, bucket long, word long, data binary"
     done = placed(words, tokens).mapInArrow(grown(False), kind)
     if (parts > 1).any():
         done = kept(done, "lm-trees")
@@ -631,7 +766,7 @@ def tree_gains(encoded: DataFrame, counts: DataFrame, vocab: Vocabulary, model:
         many = F.col("place").isin([int(f + i) for f, p in zip(firsts, parts, strict=True) if p > 1 for i in range(p)])
         trees = spread(means).withColumns({"turn": F.lit(1), "n": zero})
         done = done.where("row IS NOT NULL").unionByName(placed(words.where(many), trees, tokens.where(many)).mapInArrow(grown(True), kind))
-    return done.groupBy("row").agg(F.sum("gain").alias("gain"))
+    return done.groupBy("row").agg(*[F.sum(c).alias(c) for c in ("gain", "more", "base", "rare")])
 
 
 def score_texts(docs: DataFrame, options: Options = Options()) -> DataFrame:  # noqa: B008
@@ -658,21 +793,9 @@ def score_texts(docs: DataFrame, options: Options = Options()) -> DataFrame:  #
     kind = "row long, doc_id string, held_out boolean, n_tokens long, n_known long, base double, rare double, neural double"
     texts = encoded.select("row", "doc_id", "held_out", "n_tokens", "n_known", "base", "rare", "symbols").mapInArrow(scored, kind)
 
-    tail = encoded.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select("row", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
-    low = F.col("word").bitwiseAND((1 << BUCKET_BITS) - 1)
-    spread = [float(x) for x in vocab.bucket_tokens], [float(x) for x in vocab.unknown_share()]
-    total, unknown = (F.element_at(F.lit(x), (low + 1).cast("int")) for x in spread)
-    n = F.coalesce("n", F.lit(0))
-    inside = F.log10(F.when(n > 0, (1 - unknown) * n / F.greatest(total, F.lit(1.0))).otherwise(unknown) + NOTHING)
-    base = F.log10((n + 0.1) / (vocab.tokens + 0.1 * (vocab.types + 1)))
-    sums = (
-        tail.join(counts.where(F.col("n") < vocab.limit), "word", "left")
-        .groupBy("row")
-        .agg(F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("more"), F.sum(F.col("times") * base).alias("base_tail"), F.sum(F.col("times") * inside).alias("rare_tail"))
-    )
-    gains = tree_gains(encoded, counts, vocab, model, options)
+    tail = tree_gains(encoded, counts, vocab, model, options).withColumnsRenamed({"base": "base_tail", "rare": "rare_tail"})
     none = lambda c: F.coalesce(c, F.lit(0))
-    return texts.join(sums, "row", "left").join(gains, "row", "left").select(
+    return texts.join(tail, "row", "left").select(
         F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"),
         "held_out",
         "n_tokens",

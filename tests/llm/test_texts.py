@@ -86,6 +86,98 @@ def test_trees_give_probabilities():
         assert math.isclose((np.exp(tree.gain(hidden, every)) * counts / counts.sum()).sum(), 1, rel_tol=1e-5)
 
 
+def test_tree_steps_are_those_of_single_nodes():
+    """Bands of levels, levels one by one, and many leaves below a node of any level."""
+    r = np.random.default_rng(6)
+    for n, tokens in ((1, 9), (2, 40), (40, 500), (300, 70), (3000, 900), (3000, 4096)):
+        counts = r.integers(1, 9, n).astype(float)
+        tree = lm_scoring.Tree(counts, 4)
+        tree.units[1:] += r.normal(size=tree.units[1:].shape).astype(np.float32)
+        leaves = np.sort((r.random(tokens) ** 3 * n).astype(np.int64))
+        hidden = r.normal(size=(tokens, 5)).astype(np.float32)
+        units, seen, visits = tree.units.astype(float), tree.seen.astype(float), np.zeros(len(tree.visits))
+        sums = np.zeros(units.shape)
+        for h, leaf in zip(hidden.astype(float), leaves.tolist(), strict=True):
+            for level in range(tree.depth):
+                node, right = (1 << level) + (leaf >> (tree.depth - level)), leaf >> (tree.depth - level - 1) & 1
+                visits[node] += 1
+                if tree.live[node]:
+                    sums[node] += h * ((1 - right) - 1 / (1 + math.exp(-(h @ units[node]))))
+        sums /= np.sqrt(np.maximum(visits, 1))[:, None]
+        seen += sums * sums
+        tree.step(hidden, leaves, 0.1)
+        assert (tree.visits == visits).all()
+        assert np.allclose(tree.units, units + 0.1 * sums / np.sqrt(seen), atol=1e-4)
+        gains = tree.gain(hidden, leaves)
+        for i in range(0, tokens, 7):
+            total = -math.log(counts[leaves[i]] / counts.sum())
+            for level in range(tree.depth):
+                (node,), (right,) = tree.at(level, leaves[i : i + 1])
+                if tree.live[node]:
+                    total -= math.log1p(math.exp((hidden[i] @ tree.units[node]) * (1 if right else -1)))
+            assert math.isclose(gains[i], total, abs_tol=1e-3)
+
+
+@pytest.mark.parametrize("size", [5, 8])
+def test_language_model_steps(size):
+    """One step against sums over tokens and symbols in plain code."""
+    r = np.random.default_rng(7)
+    counts = r.integers(0, 50, lm_scoring.SYMBOLS).astype(float)
+    share = (counts + 0.5) / (counts + 0.5).sum()
+    model = lm_scoring.Model.start(counts, size)
+    trainer = lm_scoring.Trainer(model, share, 0.1, 6, seed=3)
+    far, near, word = r.integers(0, 20, (3, 64))
+    noise = np.minimum(np.searchsorted(np.cumsum(share), np.random.default_rng(3).random(6) * np.cumsum(share)[-1]), lm_scoring.SYMBOLS - 1)
+    trainer.step(far, near, word)
+    old = {k: getattr(model, k).astype(float) for k in model.NAMES}
+    g = {k: np.zeros(v.shape) for k, v in old.items()}
+    for a, b, w in zip(far, near, word, strict=True):
+        hidden, back = old["context"][b] @ old["near"] + old["context"][a] @ old["far"], np.zeros(size)
+        for symbol, true in [(w, 1), *[(x, 0) for x in noise]]:
+            score = hidden @ old["target"][symbol] + old["bias"][symbol] - math.log(share[symbol] * 6)
+            up = true - 1 / (1 + math.exp(-score))
+            g["target"][symbol] += up * hidden
+            g["bias"][symbol] += up
+            back += up * old["target"][symbol]
+        g["context"][b] += old["near"] @ back
+        g["context"][a] += old["far"] @ back
+        g["near"] += np.outer(old["context"][b], back)
+        g["far"] += np.outer(old["context"][a], back)
+    for k in model.NAMES:
+        step = g[k] / math.sqrt(64)
+        assert np.allclose(getattr(trainer.m, k), old[k] + 0.1 * step / np.sqrt(0.1 + step * step), atol=1e-5), k
+
+
+def test_keys_by_bucket():
+    r = np.random.default_rng(9)
+    for n in (0, 1, 2, 5000):
+        keys = r.integers(0, 1 << 63, max(n // 4, 1), dtype=np.uint64)[r.integers(0, max(n // 4, 1), n)] * np.uint64(2)
+        assert (lm_scoring.by_bucket(keys) == np.lexsort((np.arange(n), keys, lm_scoring.bucket_of(keys)))).all()
+
+
+@pytest.mark.parametrize("most, part_tokens", [(5, 1 << 22), (40, 4), (1 << 18, 1 << 22)])
+def test_language_model_with_few_words_sent(spark, most, part_tokens, monkeypatch):
+    """Counts of words beyond the broadcast ones come with their trees, without a join of their own."""
+    monkeypatch.setattr(lm_scoring, "BROADCAST_WORDS", most)
+    monkeypatch.setattr(lm_scoring, "PART_TOKENS", part_tokens)
+    r = random.Random(most)
+    rows = [(i, " ".join(f"{r.choice('Ab')}{int(r.random() ** 4 * 60)}z" for _ in range(i % 13))) for i in range(60)] + [(7, "once a0z a0z"), (8, None), (9, "")]
+    counts = Counter()
+    for i, t in rows:
+        if zlib.crc32(str(i).encode()) % 10:
+            counts.update([*split(t, True), None])
+    total, types = sum(counts.values()), len(counts)
+    found = lm_scoring.score_texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert len(re.findall(r"\b\w*Join\b", found._jdf.queryExecution().optimizedPlan().toString())) == 1
+    got = found.collect()
+    expected = []
+    for i, t in rows:
+        tokens = [*split(t, True), None]
+        expected.append((i, len(tokens), sum(counts[w] > 0 for w in tokens), round(sum(math.log10((counts[w] + 0.1) / (total + 0.1 * (types + 1))) for w in tokens), 9)))
+    assert sorted((x.doc_id, x.n_tokens, x.n_known, round(x.base_score, 9)) for x in got) == sorted(expected)
+    assert all(math.isfinite(x.score) and x.score < 0 for x in got)
+
+
 @pytest.mark.parametrize("part_tokens", [1 << 22, 1500])
 def test_rare_words_follow_their_contexts(spark, part_tokens, monkeypatch):
     """Words that share a symbol, each after one of two cues; half of the held-out texts have the cues swapped."""
