@@ -7,12 +7,15 @@ they share a bucket of a unique key, so its size is bounded whatever the tables
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docmill.functions.strings import let, replaced
+
 BUCKET = 10
 #: Folders below a landing directory. Spark starts a task for each folder of a level, up to 10,000, to list it.
 LANDING_FOLDERS = 256
@@ -45,10 +48,14 @@ def lines_of(text: Column) -> Column:
 
 
 def escaped(text: Column) -> Column:
-    t = F.replace(text, F.lit("&"), F.lit("&amp;"))
-    t = F.replace(t, F.lit("<"), F.lit("&lt;"))
-    t = F.replace(t, F.lit(">"), F.lit("&gt;"))
-    return F.replace(t, F.lit('"'), F.lit("&quot;"))
+    def marked(text: Column) -> Column:
+        t = F.replace(text, F.lit("&"), F.lit("&amp;"))
+        t = F.replace(t, F.lit("<"), F.lit("&lt;"))
+        t = F.replace(t, F.lit(">"), F.lit("&gt;"))
+        return F.replace(t, F.lit('"'), F.lit("&quot;"))
+
+    found = lambda t: reduce(Column.__or__, [F.contains(t, F.lit(c)) for c in '&<>"'])
+    return let(text, lambda t: F.when(found(t), marked(t)).otherwise(t))
 
 
 def joined(pieces: Column, between: str = "") -> Column:
@@ -63,7 +70,7 @@ def csv_text(text: Column, quote: str = '"', delimiter: str = ",") -> Column:
     """Line number and line as a record; every third one has a third cell, blanks in between."""
 
     def record(line: Column, i: Column) -> Column:
-        cell = F.replace(line, F.lit('"'), F.lit('""')) if quote else F.replace(line, F.lit("\t"), F.lit(" "))
+        cell = replaced(line, '"', '""') if quote else replaced(line, "\t", " ")
         return F.concat(
             word(i),
             F.lit(delimiter + quote),

@@ -1,0 +1,75 @@
+"""Shortcuts for texts that hold nothing to do: the same results as the patterns they spare."""
+
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from docmill.functions.html import _element, _either, html_markdown
+from docmill.functions.strings import JS_SPACE, SHORT, closed_elements, elements_or_marks, inner, js_trim, normalize_markdown, openings, strip_bom
+from docmill.functions.tables import escape_cell
+
+
+def texts(pieces, n, most, seed=7):
+    rng = random.Random(seed)
+    return [None, ""] + ["".join(rng.choices(pieces, k=rng.randint(1, most))) for _ in range(n)]
+
+
+def applied(spark, values, *columns):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, t string")
+    return [tuple(r)[1:] for r in df.select("id", *columns).orderBy("id").collect()]
+
+
+def test_text_passes_match_plain_code(spark):
+    values = texts(["a", "b|", " ", "\t", "\n", "\r", "\r\n", " ", " ", "\xa0", "﻿", "é"], 1500, 9)
+    t = F.col("t")
+    got = applied(spark, values, js_trim(t), normalize_markdown(t), strip_bom(t), escape_cell(t))
+
+    def normal(v):
+        v = re.sub("[ \t]+(?=[\n  ]|\\Z)", "", re.sub("\r\n?", "\n", v))
+        return re.sub("\n{3,}", "\n\n", v).strip(JS_SPACE)
+
+    for value, found in zip(values, got):
+        if value is None:
+            assert found == (None,) * 4
+        else:
+            assert found == (value.strip(JS_SPACE), normal(value), value.removeprefix("﻿"), re.sub("\r?\n", " ", value.replace("|", "\\|")).strip(JS_SPACE)), repr(value)
+
+
+def test_elements_match_lazy_pattern(spark):
+    """Also of texts that are searched whole and of those that are cut behind their last closing tag."""
+    pieces = ["<t>", "</t>", "<t a='1'>", "<t/>", "x", "\n", "<", ">", "</", "<tt>", "</tt>", "y" * (SHORT // 8)]
+    values = texts(pieces, 1500, 24)
+    word = "(?![A-Za-z0-9_])"
+    element = f"<t{word}[^>]*>({inner('</t>')})</t>"
+    both = f"<t{word}[^>]*?(?:/>|>{inner('</t>')}</t>)"
+    got = applied(
+        spark, values, closed_elements(F.col("t"), element, "</t>"), elements_or_marks(F.col("t"), both, f"<t{word}[^>]*?/>", "</t>")
+    )
+    for value, found in zip(values[1:], got[1:]):
+        assert found[0] == re.findall(f"(?s)<t{word}[^>]*>(.*?)</t>", value), repr(value)
+        assert found[1] == re.findall(f"(?s)<t{word}[^>]*?(?:/>|>.*?</t>)", value), repr(value)
+
+
+def test_html_patterns_match_lazy_ones(spark):
+    values = texts(["<b>", "</B>", "<B x>", "</b>", "<Strong>", "</sTRONG>", "x", "\n", "<", "<bb>"], 800, 14)[1:]
+    got = applied(
+        spark,
+        values,
+        F.regexp_extract_all("t", F.lit(_element("b")), F.lit(1)),
+        F.regexp_extract_all("t", F.lit(_either("strong|b")), F.lit(2)),
+    )
+    word = "(?![A-Za-z0-9_])"
+    for value, found in zip(values, got):
+        assert found[0] == re.findall(f"(?is)<b{word}[^>]*>(.*?)</b>", value), repr(value)
+        assert found[1] == [m[1] for m in re.findall(rf"(?is)<(strong|b){word}[^>]*>(.*?)</\1>", value)], repr(value)
+
+
+def test_tags_in_any_case(spark):
+    assert openings("</table>") == ["</TA", "</Ta", "</tA", "</ta"] and openings("</(?:a|b)>") == []
+    values = [
+        "<tAbLe><TR><tD>a</Td></tR></TaBLE>", "<H3>x</h3><h3>y</H3>", "<pRe> k\n</PrE>", "<bLockquote>q</BLOCKquote>",
+        "<EM>e</eM> <I>i</i> <sTRONG>s</StronG>", "<sCript>no</ScRIPT>kept", "<A hREF='u'>l</a><LI>m</lI>", "<NOscript>no</noSCRIPT>x<SVG>n</svg>",
+    ]
+    want = ["| a |\n| --- |", "### x\n\n### y", "```\n k\n```", "> q", "*e* *i* **s**", "kept", "[l](u)\n- m", "x"]
+    assert [r[0] for r in applied(spark, values, html_markdown(F.col("t")))] == want
