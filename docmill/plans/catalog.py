@@ -599,10 +599,11 @@ def convert_documents_query(spark, folder):
     def boxed(fmt, parts):
         """Real files of containers, made of their parts."""
         entry = S.entry(F.col("part"), F.col("content"))
-        whole = parts.groupBy("doc_id").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+        whole = parts.groupBy(*[c for c in parts.columns if c in ("near", "doc_id")]).agg(F.array_sort(F.collect_list(entry)).alias("entries"))
         return S.packed(whole, F.col("entries")).withColumn("ext", F.lit(fmt))
 
-    kinds = {"docx": S.word_parts(docs), "xlsx": S.workbook_parts(docs), "pptx": S.deck_parts(docs), "epub": S.book_parts(found)}
+    near = S.nearby(docs)
+    kinds = {"docx": S.word_parts(near), "xlsx": S.workbook_parts(near), "pptx": S.deck_parts(near), "epub": S.book_parts(found)}
     packed = stored(reduce(DataFrame.unionByName, [boxed(fmt, parts) for fmt, parts in kinds.items()]), "containers", by="ext")
     text = F.col("text")
     books = S.notebooks(spark, folder).withColumn("name", F.concat_ws("-", "conv_id", S.word(F.col("part"))))

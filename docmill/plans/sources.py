@@ -164,9 +164,11 @@ def workbook_part(text: Column) -> Column:
 
 
 def as_parts(df: DataFrame, key: Column, *parts: tuple[Column, Column]) -> DataFrame:
-    """One row per ``(name, text)`` of every document."""
+    """One row per ``(name, text)`` of every document; a column ``near`` is kept."""
     entries = F.array(*[F.struct(n.alias("part"), t.cast("binary").alias("content")) for n, t in parts])
-    return df.select(word(key).alias("doc_id"), F.posexplode(entries).alias("entry_idx", "entry")).select(
+    kept = [c for c in df.columns if c == "near"]
+    return df.select(*kept, word(key).alias("doc_id"), F.posexplode(entries).alias("entry_idx", "entry")).select(
+        *kept,
         "doc_id",
         "entry_idx",
         "entry.part",
@@ -318,6 +320,11 @@ def notebooks(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def nearby(docs: DataFrame) -> DataFrame:
+    """Documents dealt by their bucket, in ``near``, so that what is made of them one by one or by bucket moves as text, once."""
+    return docs.withColumn("near", F.floor(F.col("doc_id") / BUCKET)).repartition("near")
+
+
 def packed(docs: DataFrame, entries: Column, cut: Column | None = None) -> DataFrame:
     """ZIP containers ``(doc_id, content)`` from an array of ``(name, data)``; ``cut`` spoils some."""
 
